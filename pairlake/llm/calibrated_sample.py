@@ -50,6 +50,8 @@ def plan(counts: DataFrame, targets: DataFrame, size: int) -> DataFrame:
     counts: (population, category, available); targets: (category, permille, floor), a short table of
     fixed categories. Gives required, goal, the tilt, the inclusion probability and whether there is a gap.
     """
+    counts = counts.groupBy("population", "category").agg(F.sum("available").cast("long").alias("available")).where("population is not null")
+    targets = targets.where("category is not null").groupBy("category").agg(F.max("permille").alias("permille"), F.max("floor").alias("floor"))
     population = counts.select("population").distinct()
     pairs = F.collect_list(F.struct("category", "permille", "floor"))
     # every population needs all categories: the target table is one array, not a join
@@ -97,7 +99,7 @@ def fight(p: list[float], u: list[float]) -> list[float]:
 def draw(records: DataFrame, planned: DataFrame, seed: str = "42") -> DataFrame:
     """(population, category, record_id) of the sample; records: (population, category, record_id)."""
     chance = planned.where("probability > 0").select("population", "category", "probability", "available")
-    own = records.where("population is not null and category is not null and record_id is not null").distinct()
+    own = records.where("population is not null and category is not null and record_id is not null").select("population", "category", "record_id").distinct()
     h = F.xxhash64(F.lit(seed), "record_id")
     keyed = own.join(chance, ["population", "category"]).withColumns({
         "h": h, "u": F.pmod(F.xxhash64(F.lit(seed + "u"), "record_id"), F.lit(1 << 30)) / float(1 << 30), "block": F.pmod(h, F.ceil(F.col("available") / BLOCK)),

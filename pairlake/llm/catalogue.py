@@ -57,7 +57,7 @@ def _linked_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    rooted, _ = entity_split.components(cut(_linked_pairs(spark, sf)))
+    rooted, _ = entity_split.components(cut(_linked_pairs(spark, sf)), ["in_training_set"])
     return entity_split.conflicts(rooted, "in_training_set")
 
 

@@ -90,13 +90,14 @@ def spanning_forest(links: DataFrame, path: str | None = None) -> tuple[DataFram
     return forest, roots
 
 
-def components(records: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(records with ``root``, forest) of records (record_id, a, b, ...): a and b name the entities they link."""
+def components(records: DataFrame, keep: list[str] | None = None, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """((record_id, root, kept columns), forest) of records (record_id, a, b, ...): a and b name the entities they link."""
+    records = records.where("record_id is not null").select("record_id", "a", "b", *[F.col(c).alias(f"own_{c}") for c in keep or []]).dropDuplicates(["record_id"])
     own = F.concat(F.lit("record:"), F.col("record_id").cast("string"))
     named = records.withColumn("entity", F.coalesce("a", "b", own))
     forest, roots = spanning_forest(records.select(F.col("record_id").alias("link_id"), "a", "b"), path)
     rooted = named.join(roots.withColumnRenamed("node", "entity"), "entity", "left").withColumn("root", F.coalesce("root", "entity")).drop("entity")
-    return rooted, forest
+    return rooted.select("record_id", "root", *[F.col(f"own_{c}").alias(c) for c in keep or []]), forest
 
 
 def conflicts(rooted: DataFrame, flag: str) -> DataFrame:
@@ -110,7 +111,7 @@ def conflicts(rooted: DataFrame, flag: str) -> DataFrame:
 
 def deal(sizes: DataFrame, permille: list[tuple[str, int]], seed: str = "42") -> DataFrame:
     """(root, n, split): roots dealt systematically, size band by size band, in the given proportions."""
-    keyed = sizes.withColumn("band", -F.floor(F.log2(F.col("n").cast("double")))).withColumn("h", F.xxhash64(F.lit(seed), "root"))
+    keyed = sizes.select("root", "n").withColumn("band", -F.floor(F.log2(F.col("n").cast("double")))).withColumn("h", F.xxhash64(F.lit(seed), "root"))
     keyed = keyed.withColumn("block", F.pmod("h", F.lit(BLOCKS)))
     counts = keyed.groupBy("band", "block").agg(F.count(F.lit(1)).alias("c"))
     # at most bands x BLOCKS rows, some ten thousand

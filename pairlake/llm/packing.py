@@ -102,7 +102,7 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, group: int = GROUP, seed: s
     """
     if capacity < 1:
         raise ValueError("the capacity must be at least 1")
-    items = pieces(sizes, capacity)
+    items = pieces(sizes.select("doc_id", "n_tokens").distinct(), capacity)
     n = items.count()
     groups = max(1, -(-n // group))
     dealt = items.withColumn("g", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "part"), F.lit(groups)))

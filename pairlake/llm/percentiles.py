@@ -62,7 +62,8 @@ def _range(value: Column) -> Column:
 def percentiles(counts: DataFrame, groups: list[str], points: list[float]) -> DataFrame:
     """(groups, p, value, n) of counts (groups, value, n)."""
     eq = [F.coalesce(F.col(g).cast("string"), F.lit("\0null")) for g in groups]
-    keyed = counts.withColumns({"k": F.concat_ws("\1", *eq) if eq else F.lit(""), "r": _range(F.col("value"))})
+    own = [F.col(g).alias(f"own_{g}") for g in groups]
+    keyed = counts.select(*own, "value", "n", (F.concat_ws("\1", *eq) if eq else F.lit("")).alias("k"), _range(F.col("value")).alias("r"))
     ranges = keyed.groupBy("k", "r").agg(F.sum("n").alias("c"))
     upto = F.sum("c").over(Window.partitionBy("k").orderBy("r"))
     offsets = ranges.withColumns({"upto": upto, "total": F.sum("c").over(Window.partitionBy("k"))})
@@ -73,4 +74,4 @@ def percentiles(counts: DataFrame, groups: list[str], points: list[float]) -> Da
     inside = keyed.join(wanted, ["k", "r"])
     run = F.col("before") + F.sum("n").over(Window.partitionBy("k", "r").orderBy("value"))
     hit = inside.withColumn("upto", run).withColumn("hits", F.filter("ps", lambda x: (F.col("upto") >= x["rank"]) & (F.col("upto") - F.col("n") < x["rank"])))
-    return hit.where(F.size("hits") > 0).select(*groups, F.explode(F.col("hits.p")).alias("p"), "value", F.col("total").alias("n"))
+    return hit.where(F.size("hits") > 0).select(*[F.col(f"own_{g}").alias(g) for g in groups], F.explode(F.col("hits.p")).alias("p"), "value", F.col("total").alias("n"))

@@ -176,11 +176,12 @@ def p6_sample(spark: SparkSession, sf: str) -> DataFrame:
 def _measures(spark: SparkSession, sf: str) -> DataFrame:
     """(site, grade, day, measure, v): usable values; every score counts once, unreadable pictures don't."""
     scored = table(spark, sf, "quality_result").select("id", "image_id", "grade", F.to_date("scored_at").alias("day"), "width", "height", *GRID)
-    one = scored.where("id is not null and not (coalesce(width, 1) = 0 or coalesce(height, 1) = 0)").dropDuplicates(["id"])
+    own = scored.where("id is not null and not (coalesce(width, 1) = 0 or coalesce(height, 1) = 0)").drop("width", "height")
     image = with_site(table(spark, sf, "image").select(F.col("id").alias("image_id"), "domain", "source_url"), "domain", "source_url", "site").drop("domain", "source_url")
     v = [F.when(percentiles.finite(F.col(m)) >= 0, percentiles.on_grid(percentiles.finite(F.col(m)), s)) for m, s in GRID.items()]
     return (
-        one.join(image, "image_id", "left")
+        own.join(image, "image_id", "left")
+        .dropDuplicates(["image_id", "id"])
         .select("site", "grade", "day", F.explode(F.map_from_arrays(F.array(*[F.lit(m) for m in GRID]), F.array(*v))).alias("measure", "v"))
         .where("v is not null")
     )
@@ -192,12 +193,11 @@ def p7_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p7_percentiles(spark: SparkSession, sf: str) -> DataFrame:
-    """Percentiles by site, by grade and by day, all from one table of counts."""
-    counts = p7_counts(spark, sf)
+    """Percentiles by site, by grade and by day."""
     keys = [F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in ("site", "grade", "day")]
-    each = counts.withColumn("g", F.explode(F.array(*keys))).select("g.kind", "g.key", "measure", "value", "n")
-    merged = cut(percentiles.merge(each))
-    out = percentiles.percentiles(merged, ["kind", "key", "measure"], POINTS)
+    each = _measures(spark, sf).withColumn("g", F.explode(F.array(*keys))).select("g.kind", "g.key", "measure", "v")
+    # the counts are computed once: both of their uses read the same exchange
+    out = percentiles.percentiles(percentiles.value_counts(each, ["kind", "key", "measure"], "v"), ["kind", "key", "measure"], POINTS)
     return out.select("kind", F.col("key").alias("group_key"), "measure", "p", F.round("value", 4).alias("value"), "n")
 
 

@@ -60,18 +60,22 @@ def _range(value: Column) -> Column:
 
 
 def percentiles(counts: DataFrame, groups: list[str], points: list[float]) -> DataFrame:
-    """(groups, p, value, n) of counts (groups, value, n)."""
-    eq = [F.coalesce(F.col(g).cast("string"), F.lit("\0null")) for g in groups]
+    """(groups, p, value, n) of counts (groups, value, n).
+
+    Values move with a 128-bit key of their group; the groups' own columns go with the few ranges that
+    hold a target rank.
+    """
     own = [F.col(g).alias(f"own_{g}") for g in groups]
-    keyed = counts.select(*own, "value", "n", (F.concat_ws("\1", *eq) if eq else F.lit("")).alias("k"), _range(F.col("value")).alias("r"))
-    ranges = keyed.groupBy("k", "r").agg(F.sum("n").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("k").orderBy("r"))
-    offsets = ranges.withColumns({"upto": upto, "total": F.sum("c").over(Window.partitionBy("k"))})
-    wanted = offsets.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in points])))
-    rank = F.greatest(F.lit(1.0), F.ceil(F.round(F.col("p") * F.col("total"), 6)))
-    wanted = wanted.withColumn("rank", rank).where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("c") < F.col("rank")))
-    wanted = wanted.groupBy("k", "r", "total", (F.col("upto") - F.col("c")).alias("before")).agg(F.collect_list(F.struct("p", "rank")).alias("ps"))
-    inside = keyed.join(wanted, ["k", "r"])
-    run = F.col("before") + F.sum("n").over(Window.partitionBy("k", "r").orderBy("value"))
-    hit = inside.withColumn("upto", run).withColumn("hits", F.filter("ps", lambda x: (F.col("upto") >= x["rank"]) & (F.col("upto") - F.col("n") < x["rank"])))
+    flags = [c for g in groups for c in (F.col(g).isNull(), F.col(g))]
+    keys = [F.xxhash64(F.lit(s), *flags).alias(f"k{s}") for s in (1, 2)]
+    keyed = counts.select(*own, *keys, _range(F.col("value")).alias("r"), "value", "n")
+    ranges = keyed.groupBy("k1", "k2", "r", *[f"own_{g}" for g in groups]).agg(F.sum("n").alias("c"))
+    group = Window.partitionBy("k1", "k2")
+    offsets = ranges.withColumns({"upto": F.sum("c").over(group.orderBy("r")), "total": F.sum("c").over(group)})
+    reached = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.greatest(F.lit(1.0), F.ceil(F.round(F.lit(float(p)) * F.col("total"), 6))).alias("rank")) for p in points])
+    inside = F.filter(reached, lambda x: (F.col("upto") >= x["rank"]) & (F.col("upto") - F.col("c") < x["rank"]))
+    wanted = offsets.withColumn("ps", inside).where(F.size("ps") > 0).withColumn("before", F.col("upto") - F.col("c")).drop("upto", "c")
+    values = keyed.select("k1", "k2", "r", "value", "n").join(wanted, ["k1", "k2", "r"])
+    run = F.col("before") + F.sum("n").over(Window.partitionBy("k1", "k2", "r").orderBy("value"))
+    hit = values.withColumn("upto", run).withColumn("hits", F.filter("ps", lambda x: (F.col("upto") >= x["rank"]) & (F.col("upto") - F.col("n") < x["rank"])))
     return hit.where(F.size("hits") > 0).select(*[F.col(f"own_{g}").alias(g) for g in groups], F.explode(F.col("hits.p")).alias("p"), "value", F.col("total").alias("n"))

@@ -42,6 +42,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows as a table in the shared folder: columnar and compressed, for results read more than once."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
     """Whether a table has at most ``most`` rows; reads no more than that."""
     return df.limit(most + 1).count() <= most

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairlake.llm import calibrated_sample, canonical_match, contributor_caps, entity_split, history_dedup, leakage, packing, percentiles, reading_level, score_cutoff
 from pairlake.llm.pictures import usable, with_site
-from pairlake.runtime import bounded, cut, table
+from pairlake.runtime import bounded, cut, table, written
 
 FIELDS = {"treatment_category": "category", "treatment_brand": "brand"}
 SAMPLE = 120
@@ -196,8 +196,8 @@ def p7_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     """Percentiles by site, by grade and by day."""
     keys = [F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in ("site", "grade", "day")]
     each = _measures(spark, sf).withColumn("g", F.explode(F.array(*keys))).select("g.kind", "g.key", "measure", "v")
-    # the counts are computed once: both of their uses read the same exchange
-    out = percentiles.percentiles(percentiles.value_counts(each, ["kind", "key", "measure"], "v"), ["kind", "key", "measure"], POINTS)
+    counts = written(percentiles.value_counts(each, ["kind", "key", "measure"], "v"), "counts")
+    out = percentiles.percentiles(counts, ["kind", "key", "measure"], POINTS)
     return out.select("kind", F.col("key").alias("group_key"), "measure", "p", F.round("value", 4).alias("value"), "n")
 
 

@@ -60,7 +60,7 @@ def _range(value: Column) -> Column:
 
 
 def percentiles(counts: DataFrame, groups: list[str], points: list[float]) -> DataFrame:
-    """(groups, p, value, n) of counts (groups, value, n).
+    """(groups, p, value, n) of counts (groups, value, n), which are read twice: give them written.
 
     Values move with a 128-bit key of their group; the groups' own columns go with the few ranges that
     hold a target rank.

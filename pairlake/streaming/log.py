@@ -27,18 +27,16 @@ def windowed_counts(stream: DataFrame, time: str, by: list[str], width: str = "1
     return stream.withWatermark(time, late).groupBy(F.window(time, width), *by).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("start"), *by, "n")
 
 
-def into_folder(stream: DataFrame, folder: str, name: str, checkpoint: str, work: Callable[[DataFrame], DataFrame] | None = None):
-    """Every micro-batch through ``work`` into its own folder; stops when what has landed is done."""
+def into_folder(stream: DataFrame, folder: str, name: str, checkpoint: str, work: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append"):
+    """Every micro-batch through ``work`` into its own folder; stops when what has landed is done.
+
+    Started again with the same checkpoint it goes on with what has landed since.
+    """
 
     def batch(df: DataFrame, number: int) -> None:
         write_once(work(df) if work else df, folder, name, number)
 
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def into_memory(stream: DataFrame, name: str, checkpoint: str, mode: str = "append"):
-    """What has landed, into an in-memory table; for tests."""
-    return stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def running_means(stream: DataFrame, by: str, value: str) -> DataFrame:

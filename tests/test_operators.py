@@ -22,7 +22,7 @@ def test_pairing(items):
     assert rows(pairing.zip_pairs(items, ["page"], F.col("role"), ["pos"], "url"), "n", "before", "after") == [(1, "before0", "after1"), (2, "before2", "after4")]
     assert rows(pairing.adjacent_pairs(items, ["page"], ["pos"], "url"), "n", "before", "after") == [(1, "before0", "after1"), (2, "before2", "x3"), (3, "after4", "after5")]
     assert rows(pairing.first_two(items, ["page"], ["pos"], "url"), "page", "before", "after") == [("p", "before0", "after1")]
-    assert rows(pairing.half_split(items, ["page"], ["pos"], "url", 2), "n", "before", "after") == [(1, "before0", "x3"), (2, "before2", "after4")]
+    assert rows(pairing.half_split(items, ["page"], ["pos"], "url", 2), "n", "before", "after") == [(1, "before0", "x3"), (2, "after1", "after4")]
     twice = items.unionByName(items.withColumn("pos", F.col("pos") + 10))
     assert rows(pairing.first_wins(twice, ["url"], ["pos"]), "url", "pos") == sorted((r.url, r.pos) for r in items.collect())
     assert rows(pairing.first_strategy(items, ["page"], "pos"), "url") == [("before0",), ("only",)]

@@ -20,24 +20,25 @@ def test_dedup_over_runs_is_first_wins(spark, tmp_path):
 
 
 def test_late_rows_and_windows(spark, tmp_path):
-    src, mark = str(tmp_path / "in"), str(tmp_path / "mark")
+    src, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    run = lambda: log.into_folder(log.windowed_counts(log.landed(spark, src, SCHEMA), "ts", ["k"]), out, "t", mark).awaitTermination()
     land(spark, src, [(1, "a", 1.0, "2024-01-01 00:10:00"), (2, "a", 1.0, "2024-01-01 00:50:00")])
-    run = lambda n: log.into_memory(log.windowed_counts(log.landed(spark, src, SCHEMA), "ts", ["k"]), n, mark).awaitTermination()
-    run("w1")
+    run()
     land(spark, src, [(3, "a", 1.0, "2024-01-01 06:00:00")])
-    run("w2")
+    run()
     land(spark, src, [(4, "a", 1.0, "2024-01-01 00:20:00"), (5, "a", 1.0, "2024-01-01 09:00:00")])
-    run("w3")
-    got = {str(x.start)[11:13]: x.n for t in ("w1", "w2", "w3") for x in spark.table(t).collect()}
+    run()
+    got = {str(x.start)[11:13]: x.n for x in spark.read.parquet(f"{out}/t").collect()}
     assert got["00"] == 2
 
 
 def test_running_means(spark, tmp_path):
-    src, mark = str(tmp_path / "in"), str(tmp_path / "mark")
+    src, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    run = lambda: log.into_folder(log.running_means(log.landed(spark, src, SCHEMA), "k", "v"), out, "t", mark, mode="update").awaitTermination()
+    latest = lambda: {x.k: (x.n, x["mean"]) for x in spark.read.parquet(f"{out}/t").orderBy("batch").collect()}
     land(spark, src, [(1, "a", 1.0, "2024-01-01"), (2, "a", None, "2024-01-01"), (3, "b", 5.0, "2024-01-01")])
-    run = lambda n: log.into_memory(log.running_means(log.landed(spark, src, SCHEMA), "k", "v"), n, mark, "update").awaitTermination()
-    run("m1")
+    run()
+    assert latest() == {"a": (1, 1.0), "b": (1, 5.0)}
     land(spark, src, [(4, "a", 3.0, "2024-01-01")])
-    run("m2")
-    assert {x.k: (x.n, x["mean"]) for x in spark.table("m1").collect()} == {"a": (1, 1.0), "b": (1, 5.0)}
-    assert {x.k: (x.n, x["mean"]) for x in spark.table("m2").collect()}["a"] == (2, 2.0)
+    run()
+    assert latest() == {"a": (2, 2.0), "b": (1, 5.0)}

@@ -234,7 +234,8 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 def _levels(spark: SparkSession, sf: str) -> DataFrame:
     documents, ratings = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "level_sample")
     models = reading_level.train(documents, ratings)
-    return reading_level.levels(documents.join(ratings.select("doc_id").distinct(), "doc_id", "left_anti"), models)
+    # rated documents are left out after their level is known: ids are shuffled, texts are not
+    return reading_level.levels(documents, models).join(ratings.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -48,16 +48,20 @@ def with_addresses(df: DataFrame, urls: dict[str, str]) -> DataFrame:
     return _without(df, [{x: _decoded(c(u)) for u, x in urls.items()}, {x: _decoded(c(x)) for x in at}, trim, amp, relay, double], [])
 
 
+def _first(text: Column, pattern: str) -> Column:
+    """First group of the first match, else null; the pattern is searched once."""
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), 1), F.lit(1))
+
+
 def site(at: Column) -> Column:
     """The site of an address or a host; null where there is none."""
     host = F.substring_index(at, "/", 1)
-    own = F.regexp_extract(host, SITE, 1)
-    return F.when(own != "", own).otherwise(F.nullif(F.regexp_extract(host, OTHER_SITE, 1), F.lit("")))
+    return F.coalesce(_first(host, SITE), _first(host, OTHER_SITE))
 
 
 def case_number(at: Column) -> Column:
     """Digits of the case without leading zeros; null where the address has none."""
-    return F.nullif(F.regexp_extract(at, CASE, 1), F.lit(""))
+    return _first(at, CASE)
 
 
 def with_pictures(df: DataFrame, urls: dict[str, str]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,15 +12,35 @@ from pairlake.functions.urls import table_lookup
 from pairlake.functions.vocabulary import AFTER_TEXT, BEFORE_TEXT, DEFAULT_PROMPT, PRIORITY, PROMPTS, TEXT_RULES, ZONES_OF
 
 
+def needed_literals(pattern: str) -> list[str]:
+    """For each alternative of a rule's pattern, the longest run of letters that a match must hold."""
+    body = re.sub(r"\\b|^\(|\)$", "", pattern.replace("(?", ""))
+    out = []
+    for alternative in body.strip("()").split("|"):
+        rest = re.sub(r"\[[^\]]*\][?*]?|\\[a-zA-Z][?*]?", " ", alternative)
+        out.append(max(re.findall(r"[^\W\d_]+", rest), key=len))
+    return sorted(set(out))
+
+
 def text_label(text: Column, threshold: float = 0.5) -> Column:
     """struct(category, brand, confidence, n) of the most specific matching rule; nulls below the threshold.
 
-    Every pattern is a literal, compiled once. Confidence is 0.4 and 0.3 a match, at most 1. The best
+    Every pattern is a literal, compiled once, and only tried on a text that holds a run of letters
+    which its matches need. Confidence is 0.4 and 0.3 a match, at most 1. The best
     match has the highest priority, then a brand, then the earliest rule; without a brand of its own it
     takes that of the first match that is no more specific.
     """
     rule = lambda k, c, b: F.struct(F.lit(PRIORITY.get(c, 0)).alias("p"), F.lit(int(b is not None)).alias("has"), F.lit(-k).alias("o"), F.lit(c).alias("c"), F.lit(b).cast("string").alias("b"))
-    hits = F.filter(F.array(*[F.when(text.rlike("(?iU)" + pattern), rule(k, c, b)) for k, (pattern, c, b) in enumerate(TEXT_RULES)]), lambda x: x.isNotNull())
+    # the rules are written in lower case; a long s is the one letter that lower case leaves and any case would match
+    low = F.translate(F.lower(text), "ſ", "s")
+
+    def tried(low: Column, pattern: str) -> Column:
+        near = reduce(lambda a, b: a | b, [F.contains(low, F.lit(x)) for x in needed_literals(pattern)])
+        return near & low.rlike("(?U)" + pattern)
+
+    def hits(low: Column) -> Column:
+        return F.filter(F.array(*[F.when(tried(low, pattern), rule(k, c, b)) for k, (pattern, c, b) in enumerate(TEXT_RULES)]), lambda x: x.isNotNull())
+
 
     def chosen(h: Column) -> Column:
         best = F.array_max(h)
@@ -27,8 +50,8 @@ def text_label(text: Column, threshold: float = 0.5) -> Column:
         sure = (n > 0) & (confidence >= threshold)
         return F.struct(F.when(sure, best["c"]).alias("category"), F.when(sure, F.coalesce(best["b"], carried)).alias("brand"), confidence.alias("confidence"), n.alias("n"))
 
-    # the matches are bound once
-    return F.element_at(F.transform(F.array(F.coalesce(hits, F.array().cast("array<struct<p:int,has:int,o:int,c:string,b:string>>"))), chosen), 1)
+    # the lower-case text and the matches are bound once each
+    return F.element_at(F.transform(F.transform(F.array(F.coalesce(low, F.lit(""))), hits), chosen), 1)
 
 
 def pair_text(texts: Column) -> Column:

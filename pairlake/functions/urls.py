@@ -63,13 +63,20 @@ def url_label(url: Column) -> Column:
     Only slugs that occur in the path at all are tried as bounded slugs.
     """
     low = F.lower(url)
-    p = F.lower(path(url))
     community = table_lookup(COMMUNITIES, F.regexp_extract(low, r"/r/([^/?#]+)", 1))
-    whole = table_lookup(SLUGS, F.try_element_at(F.filter(F.split(F.btrim(p, F.lit("/")), "/"), lambda x: x.isin(*SLUGS)), F.lit(1)))
-    longest = sorted(SLUGS, key=lambda s: -len(s))
-    inside = F.filter(F.array(*[F.lit(s) for s in longest]), lambda s: F.contains(p, s))
-    bounded = F.filter(inside, lambda s: F.rlike(p, F.concat(F.lit(r"(?:^|[/_-])"), s, F.lit(r"(?:[/_-]|$)"))))
-    return F.coalesce(community, whole, table_lookup(SLUGS, F.try_element_at(bounded, F.lit(1))), table_lookup(SLUGS, F.try_element_at(inside, F.lit(1))))
+    first = lambda found: table_lookup(SLUGS, F.try_element_at(found, F.lit(1)))
+    longest = F.array(*[F.lit(s) for s in sorted(SLUGS, key=lambda s: -len(s))])
+
+    def inside(p: Column) -> Column:
+        whole = F.filter(F.split(F.btrim(p, F.lit("/")), "/"), lambda x: x.isin(*SLUGS))
+        return F.struct(p.alias("p"), whole.alias("whole"), F.filter(longest, lambda s: F.contains(p, s)).alias("some"))
+
+    def label(x: Column) -> Column:
+        bounded = F.filter(x["some"], lambda s: F.rlike(x["p"], F.concat(F.lit(r"(?:^|[/_-])"), s, F.lit(r"(?:[/_-]|$)"))))
+        return F.coalesce(first(x["whole"]), first(bounded), first(x["some"]))
+
+    # the path and what is found in it are bound once each
+    return F.coalesce(community, F.element_at(F.transform(F.transform(F.array(path(low)), inside), label), 1))
 
 
 EXTENSIONS = [".jpg", ".jpeg", ".png", ".webp", ".gif"]

@@ -18,8 +18,9 @@ OTHER_SITE = r"^(?:[^/@]*@)?(?:[^/:]*\.)?([^./:\s]+\.[^./:\s]+)\.?(?::\d*)?(?:[/
 
 CASE = r"(?:/gallery/case-|/c/|/before-after/|/stories/|/media/patient|[?&;]case=)0*(\d+)"
 FILE = r"(?:/c/\d+/(?:before|after)/|/stories/\d+/photo/(?:untreated|result)-|/media/patient\d+/0[12]/|/gallery/case-\d+/|/before-after/\d+/|[?&;]img=)([^/?#&;]+)"
-BEFORE = r"/c/\d+/before/|/photo/untreated-|/media/patient\d+/01/|/gallery/case-\d+/[^/?#&]+-before(?:[-_@.?#&]|$)|/before-after/\d+/[^/?#&]+_pre(?:[-_@.?#&]|$)|[?&;]img=[^&#]+-b(?:[&#]|$)"
-AFTER = r"/c/\d+/after/|/photo/result-|/media/patient\d+/02/|/gallery/case-\d+/[^/?#&]+-after(?:[-_@.?#&]|$)|/before-after/\d+/[^/?#&]+_post(?:[-_@.?#&]|$)|[?&;]img=[^&#]+-a(?:[&#]|$)"
+#: On what FILE matches: the side that the form of address names.
+BEFORE = r"^/c/\d+/before/|^/stories/\d+/photo/untreated-|^/media/patient\d+/01/|^/gallery/.*-before(?:[-_@.]|$)|^/before-after/.*_pre(?:[-_@.]|$)|^.img=.*-b$"
+AFTER = r"^/c/\d+/after/|^/stories/\d+/photo/result-|^/media/patient\d+/02/|^/gallery/.*-after(?:[-_@.]|$)|^/before-after/.*_post(?:[-_@.]|$)|^.img=.*-a$"
 FORMAT = r"(?:-\d{2,4}x\d{2,4}|-scaled|@\dx|_large|_medium|_small|_thumb|-thumb)?(?:\.(?:jpe?g|png|webp|gif|avif|bmp|tiff?|heic))?$"
 ROLE_END = r"(?:-before|-after|_pre|_post)$"
 ROLE_END_QUERY = r"-[ab]$"
@@ -71,16 +72,20 @@ def with_pictures(df: DataFrame, urls: dict[str, str]) -> DataFrame:
     """
     c, own = F.col, {u: f"{x}_at" for u, x in urls.items()}
     df = with_addresses(df, own)
-    parts, names, out = {}, {}, {}
+    found, parts, names, out = {}, {}, {}, {}
     for u, x in urls.items():
-        at = c(own[u])
-        parts |= {f"{x}_raw": F.regexp_extract(at, FILE, 1)}
-        names |= {f"{x}_raw": F.regexp_replace(c(f"{x}_raw"), FORMAT, "")}
-        name = F.when(F.contains(at, F.lit("img=")), F.regexp_replace(c(f"{x}_raw"), ROLE_END_QUERY, "")).otherwise(F.regexp_replace(c(f"{x}_raw"), ROLE_END, ""))
-        role = F.when(at.rlike(BEFORE), "b").when(at.rlike(AFTER), "a").otherwise("")
-        known = F.concat_ws("|", site(at), case_number(at), role, name)
-        out |= {x: F.when(c(f"{x}_raw") != "", known).otherwise(F.regexp_replace(at, "[?#].*$", ""))}
-    return _without(df, [parts, names, out], [*parts, *own.values()])
+        at, whole, raw = c(own[u]), c(f"{x}_found"), c(f"{x}_raw")
+        # everything but the site is read from the short part that names case, side and file
+        found |= {f"{x}_found": F.regexp_extract(at, FILE, 0)}
+        parts |= {f"{x}_raw": F.regexp_extract(whole, FILE, 1)}
+        names |= {f"{x}_raw": F.regexp_replace(raw, FORMAT, "")}
+        query = F.contains(whole, F.lit("img="))
+        name = F.when(query, F.regexp_replace(raw, ROLE_END_QUERY, "")).otherwise(F.regexp_replace(raw, ROLE_END, ""))
+        role = F.when(whole.rlike(BEFORE), "b").when(whole.rlike(AFTER), "a").otherwise("")
+        case = F.when(query, case_number(at)).otherwise(case_number(whole))
+        known = F.concat_ws("|", site(at), case, role, name)
+        out |= {x: F.when(raw != "", known).otherwise(F.regexp_replace(at, "[?#].*$", ""))}
+    return _without(df, [found, parts, names, out], [*found, *parts, *own.values()])
 
 
 def with_site(df: DataFrame, domain: str, source_url: str, to: str, case_to: str | None = None) -> DataFrame:

@@ -21,7 +21,8 @@ cumulative quota steps up at i. Every band thus gets each split's proportion
 to within one root.
 
 Cases: a record without one of its entities links nothing; without both it is
-its own component; repeated records count once; self links are dropped; an
+its own component; a record that is given twice is in the result twice, in one
+component, and in conflicts once; self links are dropped; an
 empty table gives no forest and no splits.
 """
 
@@ -92,7 +93,7 @@ def spanning_forest(links: DataFrame, path: str | None = None) -> tuple[DataFram
 
 def components(records: DataFrame, keep: list[str] | None = None, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """((record_id, root, kept columns), forest) of records (record_id, a, b, ...): a and b name the entities they link."""
-    records = records.where("record_id is not null").select("record_id", "a", "b", *[F.col(c).alias(f"own_{c}") for c in keep or []]).dropDuplicates(["record_id"])
+    records = records.where("record_id is not null").select("record_id", "a", "b", *[F.col(c).alias(f"own_{c}") for c in keep or []])
     own = F.concat(F.lit("record:"), F.col("record_id").cast("string"))
     named = records.withColumn("entity", F.coalesce("a", "b", own))
     forest, roots = spanning_forest(records.select(F.col("record_id").alias("link_id"), "a", "b"), path)
@@ -106,7 +107,7 @@ def conflicts(rooted: DataFrame, flag: str) -> DataFrame:
     both = flagged.groupBy("root").agg(F.min("flag").alias("low"), F.max("flag").alias("high")).where("not low and high").select("root")
     divided = flagged.join(both, "root", "left_semi")
     yes, no = divided.where("flag").select("root", F.col("record_id").alias("x")), divided.where("not flag").select("root", F.col("record_id").alias("y"))
-    return yes.join(no, "root").select(F.least("x", "y").alias("pair_id_a"), F.greatest("x", "y").alias("pair_id_b"))
+    return yes.join(no, "root").select(F.least("x", "y").alias("pair_id_a"), F.greatest("x", "y").alias("pair_id_b")).distinct()
 
 
 def deal(sizes: DataFrame, permille: list[tuple[str, int]], seed: str = "42") -> DataFrame:

@@ -95,6 +95,13 @@ def shard_path(pair_id: Column, side: str) -> Column:
     return F.concat(F.lpad((F.abs(pair_id) % 100).cast("string"), 2, "0"), F.lit("/"), pair_id.cast("string"), F.lit(f"_{side}.jpg"))
 
 
+def mobile(url: Column, hosts: dict[str, str]) -> Column:
+    """URL with its host replaced by the host's mobile one."""
+    h = host(url)
+    to = table_lookup(hosts, h)
+    return F.when(to.isNull(), url).otherwise(F.concat(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*://)", 1), to, F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(.*)$", 1)))
+
+
 def without_query(url: Column) -> Column:
     return F.substring_index(url, "?", 1)
 

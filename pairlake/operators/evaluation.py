@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 def ranked(rows: DataFrame, id_col: str, by: list[str], seed: str = "42") -> DataFrame:
     """Adds ``rank`` (from 1) and ``n`` in a random but fixed order within each group.
 
-    The order is that of md5(id:seed). Its first two hexadecimal digits cut every group into 256
+    The order is that of md5(id:seed). Its first four hexadecimal digits cut every group into 65,536
     ranges; ranks are given within a range and shifted by the ranges before, so no group, and not the
     whole table either, is sorted in one task.
     """
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
-    keyed = rows.withColumn("h_", h).withColumn("r_", F.substring("h_", 1, 2))
+    keyed = rows.withColumn("h_", h).withColumn("r_", F.substring("h_", 1, 4))
     sizes = keyed.groupBy(*by, "r_").agg(F.count(F.lit(1)).alias("c_"))
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     offsets = sizes.select(*by, "r_", (F.sum("c_").over(whole.orderBy("r_")) - F.col("c_")).alias("before_"), F.sum("c_").over(whole).alias("n"))
@@ -40,6 +40,15 @@ def sampler_weights(records: DataFrame, category: str) -> DataFrame:
     return records.join(counts, records[category].eqNullSafe(counts[category])).drop(counts[category])
 
 
+def paired_factors(pairs: DataFrame, id_col: str, ranges: dict[str, tuple[float, float]], epoch: int = 0, seed: str = "42") -> DataFrame:
+    """Adds one random factor per name, the same for both pictures of a pair; fixed by id, epoch and seed."""
+    def factor(name: str, low: float, high: float):
+        h = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(name), F.lit(str(epoch)), F.lit(seed))), 1, 8), 16, 10).cast("double")
+        return F.lit(low) + h / float(1 << 32) * (high - low)
+
+    return pairs.withColumns({n: factor(n, a, b) for n, (a, b) in ranges.items()})
+
+
 def metric_means(long: DataFrame, by: list[str]) -> DataFrame:
     """(by, mean, n): nulls and NaN don't count."""
     v = F.when(~F.isnan("value"), F.col("value"))

@@ -103,6 +103,12 @@ def images(els: DataFrame, page_id: str = "page_id") -> DataFrame:
     return out.withColumn("caption", F.when(F.col("around") == "figure", F.col("around_text")).otherwise(F.col("next_text"))).drop("around_text", "path")
 
 
+def picture_context(most: int = 300) -> Column:
+    """What is said around a picture: alternative text, label, caption or following text, heading; cut at ``most`` characters."""
+    parts = [F.col("alt"), attribute("aria-label"), F.col("caption"), F.col("heading")]
+    return F.substring(F.array_join(F.filter(F.array(*parts), lambda t: F.coalesce(t, F.lit("")) != ""), " "), 1, most)
+
+
 def attribute_pairs(els: DataFrame, before: str = "data-before", after: str = "data-after", page_id: str = "page_id") -> DataFrame:
     """Both pictures named in attributes of one element."""
     b, a = attribute(before), attribute(after)

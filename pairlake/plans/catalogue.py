@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pairlake.functions import geometry, texts, urls, vectors
 from pairlake.operators import calibration, evaluation, faces, frontier, html, pairing, relational
 from pairlake.plans.sql import SQL
-from pairlake.runtime import bounded, cut, fresh_path, table
+from pairlake.runtime import BROADCAST_ROWS, cut, fresh_path, table
 from pairlake.sources import files, manifest
 from pairlake.streaming import log
 
@@ -199,9 +199,13 @@ def cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The five nearest rows of every query row (ids divisible by 100), against all rows."""
     e = table(spark, sf, "embeddings")
     q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    if not bounded(q):
-        raise ValueError("more query rows than may be sent to every task; search them in blocks")
-    scored = e.crossJoin(F.broadcast(q)).where("vec_id <> query_id").select("query_id", "vec_id", vectors.cosine(F.col("q"), F.col("embedding")).alias("c"))
+    scored = None
+    # a block of query rows is sent to every task
+    blocks = max(1, -(-q.count() // BROADCAST_ROWS))
+    for b in range(blocks):
+        block = F.broadcast(q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b))
+        own = e.crossJoin(block).where("vec_id <> query_id").select("query_id", "vec_id", vectors.cosine(F.col("q"), F.col("embedding")).alias("c"))
+        scored = own if scored is None else scored.unionByName(own)
     return relational.top_per_group(scored, ["query_id"], [F.desc("c"), F.col("vec_id")], 5).select("query_id", "rank", "vec_id", F.round("c", 6).alias("similarity"))
 
 
@@ -261,7 +265,7 @@ def eye_alignment(spark: SparkSession, sf: str) -> DataFrame:
 
 def rate_limit_schedule(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
-    out = frontier.schedule(e, ["user_id"], F.col("at"), ["at", "event_id"], 1_800_000_000)
+    out = frontier.schedule(e, ["user_id"], F.col("at"), ["event_id"], 1_800_000_000)
     return out.select("event_id", F.col("start").cast("long").alias("start"))
 
 

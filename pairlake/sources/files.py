@@ -80,6 +80,14 @@ def sources(spark: SparkSession, path: str, include_disabled: bool = False) -> D
     return df if include_disabled else df.where("enabled")
 
 
+def calibration_source(sources_: DataFrame) -> str:
+    """Name of the first source that is marked for calibration; there must be one."""
+    found = sources_.where("calibration_source").orderBy("ordinal").select("name").head()
+    if found is None:
+        raise ValueError("no source is marked as calibration_source")
+    return found[0]
+
+
 def seeds(sources_: DataFrame, pages: int, pattern: str = "?page=") -> DataFrame:
     """(name, url): the numbered pages of each base address."""
     numbers = F.sequence(F.lit(1), F.lit(pages))

@@ -37,6 +37,7 @@ def test_paths_and_hosts(spark):
     assert path.startswith("images/raw/s/") and path.endswith(".jpg") and path.split("/")[3] == path.split("/")[4][:2]
     assert column(spark, ["https://h/x"], lambda v: urls.content_path(F.lit("s"), v))[0].endswith(".jpg")
     assert column(spark, [7, 1234], lambda v: urls.shard_path(v, "after"), "long") == ["07/7_after.jpg", "34/1234_after.jpg"]
+    assert column(spark, ["https://blog.h.test/p?q=1", "https://o.test/"], lambda v: urls.mobile(v, {"blog.h.test": "m.blog.h.test"})) == ["https://m.blog.h.test/p?q=1", "https://o.test/"]
     assert column(spark, ["a b&ç"], urls.quoted) == ["a%20b%26%C3%A7"]
 
 

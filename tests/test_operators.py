@@ -85,12 +85,26 @@ def test_frontier(spark):
 def test_schedule_is_the_recurrence(spark):
     r = random.Random(4)
     data = [(k, r.choice("hh2"), r.randint(0, 300)) for k in range(200)]
-    got = {x.i: x.start for x in frontier.schedule(spark.createDataFrame(data, "i int, h string, t int"), ["h"], F.col("t"), ["t", "i"], 7).collect()}
-    for h in "h2":
-        last = None
-        for k, _, t in sorted((x for x in data if x[1] == h), key=lambda x: (x[2], x[0])):
-            last = t if last is None else max(t, last + 7)
-            assert got[k] == last
+    data += [(k, None, k % 7) for k in range(200, 230)]
+    df = spark.createDataFrame(data, "i int, h string, t int")
+    for span in (None, 7, 50):
+        got = {x.i: x.start for x in frontier.schedule(df, ["h"], F.col("t"), ["i"], 7, span).collect()}
+        for h in ("h", "2", None):
+            last = None
+            for k, _, t in sorted((x for x in data if x[1] == h), key=lambda x: (x[2], x[0])):
+                last = t if last is None else max(t, last + 7)
+                assert got[k] == last
+
+
+def test_next_pages_context_and_factors(spark):
+    els = html.elements(spark.createDataFrame([(1, PAGE + '<a class="pager next" href="/n2">go</a><a href="/n3">»</a>')], "page_id long, html string"))
+    assert rows(frontier.next_pages(html.links(els)), "href") == [("/n2",), ("/n3",), ("/next",)]
+    said = html.images(els).select("src", html.picture_context(40).alias("t")).collect()
+    assert {x.src: x.t for x in said}["c.jpg"] == "before and after one week Lips"
+    p = spark.createDataFrame([(1,), (2,)], "pair_id long")
+    one = rows(evaluation.paired_factors(p, "pair_id", {"turn": (-5.0, 5.0), "light": (0.9, 1.1)}), "pair_id", "turn", "light")
+    assert one == rows(evaluation.paired_factors(p, "pair_id", {"turn": (-5.0, 5.0), "light": (0.9, 1.1)}), "pair_id", "turn", "light")
+    assert all(-5 <= t <= 5 and 0.9 <= x <= 1.1 for _, t, x in one) and one[0][1] != one[1][1]
 
 
 def test_training_set(spark):
@@ -206,4 +220,6 @@ def test_sources(spark, tmp_path):
     got = files.sources(spark, str(p)).orderBy("ordinal").collect()
     assert [(x.name, x.rendering, x.consent_tier, x.rate_limit) for x in got] == [("a", "static", 1, 3.0), ("c", "static", 3, 7.0)] and got[0].extra == {"odd": "5"}
     assert files.sources(spark, str(p), include_disabled=True).count() == 3
+    with pytest.raises(ValueError, match="calibration"):
+        files.calibration_source(files.sources(spark, str(p)))
     assert rows(files.seeds(files.sources(spark, str(p)), 2), "url") == [("https://a/x?page=1",), ("https://a/x?page=2",)]

@@ -59,13 +59,15 @@ def plan(counts: DataFrame, targets: DataFrame, size: int) -> DataFrame:
     have = wanted.join(counts, ["population", "category"], "left").withColumn("available", F.coalesce("available", F.lit(0).cast("long")))
     required = F.greatest(F.col("floor").cast("double"), F.col("permille") * size / 1000)
     goal = F.least(F.ceil(F.round(required, 9)).cast("double"), F.col("available").cast("double"))
-    out = have.withColumns({"required": required, "goal": goal, "gap": F.col("available") < required})
+    out = have.withColumns({"required": required, "goal": goal})
     everyone = counts.groupBy("population").agg(F.sum("available").alias("records"))
     out = out.join(everyone, "population").withColumn("start", F.least(F.lit(1.0), F.lit(float(size)) / F.greatest(F.col("records"), F.lit(1))))
     tilt = F.when((F.col("goal") > 0) & (F.col("available") > 0), newton(F.col("available").cast("double"), F.col("start"), F.col("goal")))
     out = out.withColumn("tilt", tilt)
     probability = F.when(F.col("tilt").isNull(), F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.col("start") * F.exp("tilt")))
-    return out.withColumn("probability", probability).select("population", "category", "available", "required", "goal", "gap", "tilt", "probability")
+    # what calibration reaches falls short of what is required only where too few records are there
+    out = out.withColumn("probability", probability).withColumn("gap", F.col("available") * F.col("probability") < F.col("required") * (1 - 1e-9))
+    return out.select("population", "category", "available", "required", "goal", "gap", "tilt", "probability")
 
 
 def fight(p: list[float], u: list[float]) -> list[float]:

@@ -12,10 +12,10 @@ so that a pasted footer or one long quotation doesn't outweigh the rest.
 Words are counted in a distributed way; the models come from at most
 ``MAX_RATED`` rated documents (in order of a hash of their id), which bounds
 what is sent to executors. Documents are read once for the models and once for
-their levels; no text is shuffled.
+their levels; texts are not shuffled, but for the rated ones of the models.
 
 Cases: null, empty and short texts (under ``least`` words) have no row; a
-document rated several times has no row; words that no rated document has say
+document that is given or rated several times counts once; words that no rated document has say
 nothing; ties go to the lower level; texts of any length are read whole.
 """
 
@@ -107,8 +107,8 @@ def train(documents: DataFrame, ratings: DataFrame) -> Models:
     shares = ok.groupBy("doc_id").agg(*[(F.count_if(F.col("reading_level") == g) / F.count(F.lit(1))).alias(f"r{g}") for g in range(1, GRADES + 1)])
     shares = shares.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_RATED)
     docs = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    # at most MAX_RATED short rows go to every task, no text is shuffled
-    rows = word_counts(docs.join(F.broadcast(shares), "doc_id").drop("doc_id")).collect()
+    # at most MAX_RATED short rows go to every task, and only their texts are shuffled, to count each document once
+    rows = word_counts(docs.join(F.broadcast(shares), "doc_id").dropDuplicates(["doc_id"]).drop("doc_id")).collect()
     if not rows:
         seeded = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_RATED)
         grade = F.pandas_udf(lambda t: t.map(formula_grade), "int")

@@ -13,7 +13,8 @@ inside a bracket, about 4/``ACCURACY`` of a source.
 Cases: null, NaN and out-of-range scores and records without a source don't
 count; ties at the cutoff are all kept, so the kept share may exceed the
 target; a target of 0 keeps the records with the largest score, one of 100 or
-more keeps all; a source without usable records has no row.
+more keeps all; a source without usable records has no row; of several targets of
+one source the largest holds.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ def cutoffs(records: DataFrame, targets: DataFrame) -> DataFrame:
     ``records`` is read three times; give it cut.
     """
     own = records.where("source is not null and score is not null").select("source", "score")
+    targets = targets.where("source is not null and keep_percent is not null").groupBy("source").agg(F.max("keep_percent").alias("keep_percent"))
     p = F.col("keep_percent") / 100
     # a sketch can't take its percentages from a column, so it is asked for a fixed grid finer than its error allows
     grid = [k / 200 for k in range(201)]
@@ -39,7 +41,7 @@ def cutoffs(records: DataFrame, targets: DataFrame) -> DataFrame:
     at = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - p))
     low, high = F.greatest(F.floor(at * 200) - 1, F.lit(0)), F.least(F.ceil(at * 200) + 1, F.lit(200))
     bracket = cut(
-        sketched.join(targets.select("source", "keep_percent"), "source").select(
+        sketched.join(targets, "source").select(
             "source", "keep_percent", "n", F.greatest(F.lit(1), F.least(F.col("n"), F.ceil(F.col("n") * F.col("keep_percent") / 100))).cast("long").alias("need"),
             F.when(low <= 0, F.lit(float("-inf"))).otherwise(F.element_at("q", (low + 1).cast("int"))).alias("low"),
             F.when(high >= 200, F.lit(float("inf"))).otherwise(F.element_at("q", (high + 1).cast("int"))).alias("high"),

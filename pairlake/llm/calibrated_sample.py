@@ -25,10 +25,14 @@ gaps; a target of 0 with a floor still gets its floor; empty tables give no rows
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairlake.runtime import cut
+
 BLOCK = 5_000
 NEWTON = 60
 
@@ -100,26 +104,33 @@ def fight(p: list[float], u: list[float]) -> list[float]:
 
 def draw(records: DataFrame, planned: DataFrame, seed: str = "42") -> DataFrame:
     """(population, category, record_id) of the sample; records: (population, category, record_id)."""
-    chance = planned.where("probability > 0").select("population", "category", "probability", "available")
+    total = F.sum("available").over(Window.partitionBy("population"))
+    chance = planned.where("probability > 0").select("population", "category", "probability", total.alias("total"))
     own = records.where("population is not null and category is not null and record_id is not null").select("population", "category", "record_id").distinct()
     h = F.xxhash64(F.lit(seed), "record_id")
     keyed = own.join(chance, ["population", "category"]).withColumns({
-        "h": h, "u": F.pmod(F.xxhash64(F.lit(seed + "u"), "record_id"), F.lit(1 << 30)) / float(1 << 30), "block": F.pmod(h, F.ceil(F.col("available") / BLOCK)),
+        "h": h, "u": F.pmod(F.xxhash64(F.lit(seed + "u"), "record_id"), F.lit(1 << 30)) / float(1 << 30), "block": F.pmod(h, F.ceil(F.col("total") / BLOCK)),
     })
     schema = "population long, category string, record_id long, h long, u double, probability double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "record_id"])
-        return pdf.assign(probability=fight(pdf["probability"].tolist(), pdf["u"].tolist()))[["population", "category", "record_id", "h", "u", "probability"]]
-
-    once = keyed.groupBy("population", "category", "block").applyInPandas(run, schema)
-    # what blocks leave undecided: at most one record each
+        pdf = pdf.sort_values(["category", "h", "record_id"])[["population", "category", "record_id", "h", "u", "probability"]]
+        p, u, cat = pdf["probability"].tolist(), pdf["u"].tolist(), pdf["category"].tolist()
+        out, k = [], 0
+        while k < len(p):
+            e = bisect_right(cat, cat[k], k)
+            out += fight(p[k:e], u[k:e])
+            k = e
+        return pdf.assign(probability=out)
+
+    once = cut(keyed.groupBy("population", "block").applyInPandas(run, schema))
+    # what blocks leave undecided: at most one record a category each
     again = once.where("probability > 0 and probability < 1")
 
     def last(pdf: pd.DataFrame) -> pd.DataFrame:
         out = run(pdf)
         return out.assign(probability=[float(p > 0 and (p >= 1 or u < p)) for p, u in zip(out["probability"], out["u"])])
 
-    done = once.where("probability >= 1").unionByName(again.groupBy("population", "category").applyInPandas(last, schema).where("probability >= 1"))
+    done = once.where("probability >= 1").unionByName(again.groupBy("population").applyInPandas(last, schema).where("probability >= 1"))
     return done.select("population", "category", "record_id")
 

@@ -24,6 +24,8 @@ delivered twice under one id counts once; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,7 +91,7 @@ def nested_caps(rows: DataFrame, caps: list[tuple[str, int | float]], total: int
         share = isinstance(cap, float) and cap < 1
         if share and total is None:
             total = rows.count()
-        most = int(total * cap + 1e-9) if share else int(cap)
+        most = int(total * Fraction(cap).limit_denominator(1_000_000)) if share else int(cap)
         rows = cap_pass(rows, names[k:], most, share)
         if k + 1 < len(caps):
             rows = cut(rows)

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairlake.functions.texts import mentions
@@ -94,13 +94,15 @@ def images(els: DataFrame, page_id: str = "page_id") -> DataFrame:
 
     ``caption`` is the text of the figure around a picture, else of the paragraph or division that follows it.
     """
-    pics = els.where("tag = 'img'").select(page_id, "pos", "parent", "path", F.coalesce(attribute("src"), attribute("data-src")).alias("src"), attribute("alt").alias("alt"), attribute("class").alias("class"), "attrs", "heading")
+    own = els.where("tag in ('img', 'p', 'span', 'div', 'caption', 'figcaption')")
+    # the nearest text after an element is the last one before it in falling order, a running frame
+    after = Window.partitionBy(page_id, "parent").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    own = own.withColumn("next_text", F.last(F.when(F.col("tag") != "img", F.col("text")), ignorenulls=True).over(after))
+    pics = own.where("tag = 'img'").select(page_id, "pos", "parent", "next_text", F.coalesce(attribute("src"), attribute("data-src")).alias("src"), attribute("alt").alias("alt"), attribute("class").alias("class"), "attrs", "heading")
     around = els.select(page_id, F.col("pos").alias("parent"), F.col("tag").alias("around"), F.col("attrs").alias("around_attrs"), F.col("text").alias("around_text"))
-    following = els.where("tag in ('p', 'span', 'div', 'caption', 'figcaption')").select(page_id, "parent", F.col("pos").alias("p2"), F.col("text").alias("t2"))
-    near = pics.select(page_id, "pos", "parent").join(following, [page_id, "parent"]).where("p2 > pos").groupBy(page_id, "pos").agg(F.min_by("t2", "p2").alias("next_text"))
     same = pics.groupBy(page_id, "parent").agg(F.count(F.lit(1)).alias("n_siblings"))
-    out = pics.join(around, [page_id, "parent"], "left").join(near, [page_id, "pos"], "left").join(same, [page_id, "parent"], "left")
-    return out.withColumn("caption", F.when(F.col("around") == "figure", F.col("around_text")).otherwise(F.col("next_text"))).drop("around_text", "path")
+    out = pics.join(around, [page_id, "parent"], "left").join(same, [page_id, "parent"], "left")
+    return out.withColumn("caption", F.when(F.col("around") == "figure", F.col("around_text")).otherwise(F.col("next_text"))).drop("around_text")
 
 
 def picture_context(most: int = 300) -> Column:
@@ -142,9 +144,9 @@ def candidate_pairs(pages: DataFrame, page_id: str = "page_id", html: str = "htm
     """
     els = elements(pages, page_id, html)
     pics = images(els, page_id).where("src is not null")
-    one = attribute_pairs(els, page_id=page_id).withColumns({"n": F.row_number().over(pairing.Window.partitionBy(page_id).orderBy("pos")), "strategy": F.lit(1)})
+    one = attribute_pairs(els, page_id=page_id).withColumns({"n": F.row_number().over(Window.partitionBy(page_id).orderBy("pos")), "strategy": F.lit(1)})
     figures = pics.where((F.col("around") == "figure") & mentions(F.col("caption"), BEFORE_WORDS) & mentions(F.col("caption"), AFTER_WORDS))
-    two = pairing.first_two(figures, [page_id, "parent"], ["pos"], "src").withColumns({"n": F.row_number().over(pairing.Window.partitionBy(page_id).orderBy("parent")), "strategy": F.lit(2)})
+    two = pairing.first_two(figures, [page_id, "parent"], ["pos"], "src").withColumns({"n": F.row_number().over(Window.partitionBy(page_id).orderBy("parent")), "strategy": F.lit(2)})
     three = pairing.zip_pairs(pics, [page_id], side(F.col("alt"), F.col("src"), F.col("class")), ["pos"], "src").withColumn("strategy", F.lit(3))
     four = pairing.adjacent_pairs(pics.where("n_siblings >= 2"), [page_id, "parent"], ["pos"], "src").withColumn("strategy", F.lit(4))
     cols = [page_id, "strategy", "n", "before", "after"]

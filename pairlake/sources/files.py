@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairlake.operators.kernels import quality_of_bytes
-from pairlake.operators.pairing import first_strategy
 
 PICTURES = r"(?i)\.(jpe?g|png|webp|gif|bmp|pgm|ppm)$"
 
@@ -48,9 +47,10 @@ def local_pairs(files: DataFrame) -> DataFrame:
     """Pairs by the first of the three layouts that gives any."""
     found = None
     for k, f in enumerate((split_folders, numbered, renamed)):
-        own = f(files).withColumns({"strategy": F.lit(k), "all": F.lit(1)})
+        own = f(files).withColumn("strategy", F.lit(k))
         found = own if found is None else found.unionByName(own)
-    return first_strategy(found, ["all"], "strategy").drop("all")
+    least = found.agg(F.min("strategy").alias("strategy"))
+    return found.join(F.broadcast(least), "strategy")
 
 
 SOURCE = "ordinal int, name string, enabled boolean, rendering string, consent_tier int, rate_limit double, base_urls array<string>, calibration_source boolean, extra map<string,string>"

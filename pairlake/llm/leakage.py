@@ -9,9 +9,12 @@ are marked longest first and never overlap. Tiles then count as follows.
 
 * Words of an item that lie only in runs shared with other items (instruction
   sentences, question forms) count neither for nor against it.
-* A document must also reproduce at least ``DISTINCTIVE`` of the item's words
-  that no other item has (names and the like), where the item has such words:
-  fillers of question forms agree by chance, these don't.
+* A refilled question form agrees with an item in short pieces, between which
+  the words that no other item has (names and the like) are exchanged. So where
+  less than ``DISTINCTIVE`` of these words is reproduced, only long verbatim
+  passages count, whatever words they hold: runs of at least ``VERBATIM`` words
+  (tiles on both sides of one altered word that other items have too are one
+  run), and single tiles that reach the share alone.
 * Tiles that keep the item's order are joined into the heaviest chain; the
   share of countable words in that chain is ``coverage``. ``tiled`` is the same
   share over all tiles, whatever their order, so reordered passages show up.
@@ -42,6 +45,7 @@ SEED = 3
 MIN_TILE = 3
 SHARE = 1 / 3
 DISTINCTIVE = 0.25
+VERBATIM = 12
 MAX_BLOCK_WORDS = 2_000_000
 BASE, MOD = 1_000_003, (1 << 61) - 1
 
@@ -179,19 +183,30 @@ def heaviest_chain(found: list[tuple[int, int, int, int]]) -> int:
     return top
 
 
-def coverage(index: ItemIndex, item_id: int, doc: list[str], least: int = MIN_TILE) -> tuple[float, float]:
+def verbatim(found: list[tuple[int, int, int]], rare: list[bool], least: int = VERBATIM) -> set[tuple[int, int, int]]:
+    """Tiles in runs of at least ``least`` words; a run goes on after one altered word unless that word is rare."""
+    runs: list[list[tuple[int, int, int]]] = []
+    for p, q, n in sorted(found):
+        if runs:
+            p0, q0, n0 = runs[-1][-1]
+            if p - p0 - n0 == q - q0 - n0 == 1 and not rare[p - 1]:
+                runs[-1].append((p, q, n))
+                continue
+        runs.append([(p, q, n)])
+    return {t for r in runs if r[-1][0] + r[-1][2] - r[0][0] >= least for t in r}
+
+
+def coverage(index: ItemIndex, item_id: int, doc: list[str], least: int = MIN_TILE, share: float = SHARE) -> tuple[float, float]:
     """Share of an item's countable words reproduced: in the item's order, in any order."""
     own, rare = index.countable[item_id], index.distinctive[item_id]
     total = sum(own)
     if not total:
         return 0.0, 0.0
-    found, named = [], 0
-    for p, q, n in tiles(index.words[item_id], doc, least):
-        named += sum(rare[p : p + n])
-        if weight := sum(own[p : p + n]):
-            found.append((p, q, n, weight))
-    if named < DISTINCTIVE * sum(rare):
-        return 0.0, 0.0
+    matches = tiles(index.words[item_id], doc, least)
+    found = [(p, q, n, weight) for p, q, n in matches if (weight := sum(own[p : p + n]))]
+    if sum(sum(rare[p : p + n]) for p, _, n in matches) < DISTINCTIVE * sum(rare):
+        long = verbatim(matches, rare)
+        found = [x for x in found if x[:3] in long or x[3] / total >= share]
     return heaviest_chain(found) / total, sum(w for *_, w in found) / total
 
 
@@ -202,7 +217,7 @@ def match_batch(index: ItemIndex, ids: pd.Series, texts: pd.Series, share: float
             continue
         doc = words(text)
         for i in sorted(index.candidates(doc)):
-            ordered, tiled = coverage(index, i, doc)
+            ordered, tiled = coverage(index, i, doc, share=share)
             if max(ordered, tiled) >= share:
                 out.append((doc_id, i, ordered, tiled))
     return out

@@ -121,6 +121,27 @@ def test_reordered_passages_tile_but_do_not_keep_order():
     assert tiled == 1.0 and ordered < 0.8
 
 
+def test_passages_without_rare_words():
+    body = "when the brow is given to a florist ask how many units remain before the cooling starts and why it hurts"
+    names = "nemiren dusmarbra griquizan vatelbel miombra juwope hylo thuwoom"
+    item = words(f"{names} {body} dexhylo voquidor registry lamp zanbrako palcalkra selcalpe marvaju")
+    index = leakage.ItemIndex([(1, " ".join(item)), (2, " ".join(reversed(words(body))))])
+    own, rare = index.countable[1], index.distinctive[1]
+    assert all(own) and sum(rare) == 16
+    third = -(-len(item) // 3)
+    for start in range(len(item) - third + 1):
+        passage = item[start : start + third]
+        assert leakage.coverage(index, 1, ["x"] * 5 + passage + ["y"] * 5)[0] >= leakage.SHARE
+        if not any(rare[start : start + third]):
+            # a single word that other items have too is altered
+            assert leakage.coverage(index, 1, [*passage[:6], "z", *item[start + 7 : start + third + 1]])[0] >= leakage.SHARE
+    # a refilled form: short pieces, names exchanged
+    form = words("ask nemiren about the brow if dusmarbra is given to a florist and griquizan units remain before vatelbel cooling starts")
+    index = leakage.ItemIndex([(1, " ".join(form)), (2, "ask about the brow if is given to florist a and units remain before cooling starts")])
+    refilled = [f"other{k}" if r else w for k, (w, r) in enumerate(zip(form, index.distinctive[1]))]
+    assert leakage.tiles(form, refilled) and leakage.coverage(index, 1, refilled) == (0.0, 0.0)
+
+
 def test_words():
     assert words("<p>Ｆｏｏ</p><p>b­ar&amp;ção sep-\narate</p>") == ["foo", "bar", "cao", "separate"]
     assert words(None) == words("...") == []

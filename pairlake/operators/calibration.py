@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairlake.runtime import cut
+from pairlake.operators.evaluation import ranked
 
 
 def sweep(samples: DataFrame, steps: int = 19, step: float = 0.05) -> DataFrame:
@@ -36,18 +36,14 @@ def best_threshold(swept: DataFrame, precision: float = 0.9, recall: float = 0.8
 def synthetic_negatives(positives: DataFrame, id_col: str, score: str, seed: str = "42", block: int = 100_000) -> DataFrame:
     """(id, other_id, score): the first half of the positives in a random order with the second half.
 
-    The order is that of md5(id:seed), the same in every engine. It is cut into random blocks of about ``block`` rows
-    (one where there are fewer), halves are matched within a block, so no task sorts all rows.
+    The order is that of md5(id:seed), the same in every engine, ranked over the whole table without sorting
+    it in one task: rank k goes with rank k + floor(n / 2), the last row of an odd number is left over.
+    ``block`` has no effect on the rows and is only kept for callers that name it.
     """
-    from pyspark.sql import Window
-
-    n = positives.count()
-    blocks = max(1, -(-n // block))
-    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
-    keyed = positives.select(F.col(id_col).alias("id"), F.coalesce(F.col(score), F.lit(0.0)).alias("s"), h.alias("h")).withColumn("b", F.pmod(F.xxhash64("h"), F.lit(blocks)))
-    own = Window.partitionBy("b")
-    k = keyed.withColumns({"k": F.row_number().over(own.orderBy("h")), "half": F.floor(F.count(F.lit(1)).over(own) / 2)})
-    k = cut(k) if blocks > 1 else k
-    first = k.where("k <= half").select("b", "k", "id", "s")
-    second = k.where("k > half and k <= 2 * half").select("b", (F.col("k") - F.col("half")).alias("k"), F.col("id").alias("other_id"), F.col("s").alias("s2"))
-    return first.join(second, ["b", "k"]).select("id", "other_id", F.round(F.greatest(F.lit(0.0), (F.col("s") + F.col("s2")) / 2 - 0.3), 6).alias("score"))
+    rows = positives.select(F.col(id_col).alias("id"), F.coalesce(F.col(score), F.lit(0.0)).alias("s"))
+    half = F.floor(F.col("n") / 2)
+    k = ranked(rows, "id", [], seed).where(F.col("rank") <= 2 * half).withColumn("first", F.col("rank") <= half)
+    # both rows of a pair have one key, so they meet in one shuffle
+    one = lambda first, c: F.max(F.when(F.col("first") == first, F.col(c)))
+    pairs = k.groupBy(F.when(F.col("first"), F.col("rank")).otherwise(F.col("rank") - half).alias("k")).agg(one(True, "id").alias("id"), one(False, "id").alias("other_id"), F.sum("s").alias("s"))
+    return pairs.select("id", "other_id", F.round(F.greatest(F.lit(0.0), F.col("s") / 2 - 0.3), 6).alias("score"))

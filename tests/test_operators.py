@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -163,6 +164,15 @@ def test_negatives_in_one_and_many_blocks(spark):
         assert all(x.score == pytest.approx(max(0, (x.id + x.other_id) / 200 - 0.3)) for x in got)
 
 
+def test_negatives_are_those_of_the_whole_order_at_every_size(spark):
+    for n in (0, 1, 2, 101):
+        order = sorted(range(n), key=lambda k: hashlib.md5(f"{k}:42".encode()).hexdigest())
+        want = sorted(zip(order[: n // 2], order[n // 2 : n // 2 * 2]))
+        df = spark.createDataFrame([(k, k / 100) for k in range(n)], "id long, score double")
+        for block in (1000, 20):
+            assert rows(calibration.synthetic_negatives(df, "id", "score", block=block), "id", "other_id") == want
+
+
 def test_splits(spark):
     df = spark.createDataFrame([(k, None if k % 10 == 0 else f"c{k % 3}") for k in range(997)], "id long, c string")
     got = evaluation.split(df, "id").collect()

@@ -106,7 +106,11 @@ def reason_bucket(reason: Column) -> Column:
 
 
 def quality_reason(blur: Column, uniformity: Column, brightness: Column, width: Column, height: Column, limits: dict[str, float]) -> Column:
-    """First failing check of a picture in fixed order, null where all pass."""
+    """First failing check of a picture in fixed order, null where all pass.
+
+    A null or NaN measure fails no check of its own; infinite ones compare as numbers.
+    """
+    brightness = F.when(~F.isnan(brightness), brightness)  # Spark takes NaN for the largest number
     low, even, dark, bright = limits["min_blur"], limits["min_uniformity"], limits["min_brightness"], limits["max_brightness"]
     return (
         F.when((width < limits["min_width"]) | (height < limits["min_height"]), "resolution_too_small")

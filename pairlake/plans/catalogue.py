@@ -292,6 +292,12 @@ def metric_means(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.metric_means(_metrics(spark, sf), ["grade", "metric"]).select("grade", "metric", F.round("mean", 3).alias("mean"), "n")
 
 
+def batch_mean_of_means_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Over every finite value, however large; null, NaN and infinite ones are in no mean."""
+    m = _metrics(spark, sf).withColumn("batch", F.floor(F.col("id") / 64))
+    return evaluation.mean_of_batch_means(m, "batch", ["metric"]).select("metric", F.round("mean", 4).alias("mean"))
+
+
 def batch_mean_of_means(spark: SparkSession, sf: str) -> DataFrame:
     m = _metrics(spark, sf).where("value between 0 and 10000").withColumn("batch", F.floor(F.col("id") / 64))
     return evaluation.mean_of_batch_means(m, "batch", ["metric"]).select("metric", F.round("mean", 4).alias("mean"))
@@ -320,7 +326,15 @@ def reject_buckets(spark: SparkSession, sf: str) -> DataFrame:
 
 def quality_reasons(spark: SparkSession, sf: str) -> DataFrame:
     fine = " and ".join(f"{c} is not null and not isnan({c}) and abs({c}) < 1e6" for c in ("blur_score", "lighting_uniformity", "mean_brightness"))
-    q = table(spark, sf, "quality_result").dropDuplicates(["id"]).where(fine)
+    return _reason_counts(table(spark, sf, "quality_result").dropDuplicates(["id"]).where(fine))
+
+
+def quality_reasons_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Over every row; ``texts.quality_reason`` says how null, NaN and infinite measures are judged."""
+    return _reason_counts(table(spark, sf, "quality_result").dropDuplicates(["id"]))
+
+
+def _reason_counts(q: DataFrame) -> DataFrame:
     reason = texts.quality_reason(F.col("blur_score"), F.col("lighting_uniformity"), F.col("mean_brightness"), F.col("width"), F.col("height"), LIMITS)
     return q.groupBy(F.coalesce(F.substring_index(reason, ":", 1), F.lit("PASS")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -427,7 +441,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         label_coverage, backfill, zip_pairs, adjacent_pairs, half_split_pairs, first_two, first_strategy, content_path, shard_counts, host_counts, url_label, text_label,
         language_detect, keyword_score, consistency_score, threshold_sweep, best_threshold, synthetic_negatives, validation_funnel, cosine_topk, same_person, l1_distance,
         largest_image, zone_presence, dominant_zones, zone_labels, pose_match, eye_alignment, rate_limit_schedule, resume_anti, split_sizes, stratified_split, metric_means,
-        batch_mean_of_means, one_per_host, links_same_host, absolute_links, reject_buckets, quality_reasons, run_stats, orphan_labels, quarantine_urls, new_images,
+        batch_mean_of_means, batch_mean_of_means_all, one_per_host, links_same_host, absolute_links, reject_buckets, quality_reasons, quality_reasons_all, run_stats, orphan_labels, quarantine_urls, new_images,
         frontier_bfs, seed_urls, query_seeds, download_admission, pair_downloads, manifest_json, instruction_prompts, treatment_zones, page_elements, page_pairs,
         stream_dedup, stream_batches,
     ]

@@ -138,6 +138,7 @@ SQL = {
     "stratified_split": f"SELECT id, {SPLIT} AS split FROM ({RANKED.format(by='PARTITION BY treatment_category', rows=LABELS)})",
     "metric_means": f"SELECT grade, metric, round(avg(v), 3) mean, count(v) n FROM ({METRICS}) GROUP BY 1, 2",
     "batch_mean_of_means": f"SELECT metric, round(avg(m), 4) mean FROM (SELECT metric, id // 64 AS b, avg(v) m FROM ({METRICS}) WHERE v BETWEEN 0 AND 10000 GROUP BY 1, 2) GROUP BY 1",
+    "batch_mean_of_means_all": f"SELECT metric, round(avg(m), 4) mean FROM (SELECT metric, id // 64 AS b, avg(v) m FROM ({METRICS}) GROUP BY 1, 2) GROUP BY 1",
     "one_per_host": f"SELECT lang, {HOST.format('url')} host, arg_min(url, doc_id) href FROM documents WHERE url IS NOT NULL AND {HOST.format('url')} <> '' AND NOT contains({HOST.format('url')}, 'clinic-') AND NOT contains({HOST.format('url')}, 'journal') GROUP BY 1, 2",
     "links_same_host": f"SELECT id FROM staging_queue WHERE {HOST.format('before_url')} = {HOST.format('source_url')} AND (regexp_matches(before_url, 'gallery|before') OR regexp_matches(lower(source_name), 'gallery|before'))",
     "absolute_links": """WITH p AS (SELECT doc_id, url, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) root FROM documents)
@@ -146,6 +147,8 @@ SQL = {
     "reject_buckets": f"SELECT split_part(fail_reason, ':', 1) AS reason, 'quality' AS bucket, count(*) n FROM ({SCORED}) WHERE fail_reason IS NOT NULL GROUP BY 1",
     "quality_reasons": f"""SELECT CASE WHEN width < 200 OR height < 200 THEN 'resolution_too_small' WHEN blur_score < 80 THEN 'blur_too_low' WHEN lighting_uniformity < 0.35::DOUBLE THEN 'lighting_uneven'
         WHEN mean_brightness > 245 THEN 'overexposed' WHEN mean_brightness < 15 THEN 'underexposed' ELSE 'PASS' END AS reason, count(*) n FROM ({SCORED}) WHERE {FINE} GROUP BY 1""",
+    "quality_reasons_all": f"""SELECT CASE WHEN width < 200 OR height < 200 THEN 'resolution_too_small' WHEN blur_score < 80 THEN 'blur_too_low' WHEN lighting_uniformity < 0.35::DOUBLE THEN 'lighting_uneven'
+        WHEN NOT isnan(mean_brightness) AND mean_brightness > 245 THEN 'overexposed' WHEN mean_brightness < 15 THEN 'underexposed' ELSE 'PASS' END AS reason, count(*) n FROM ({SCORED}) GROUP BY 1""",
     "run_stats": f"""WITH s AS (SELECT coalesce(width = 0, false) skip, fail_reason FROM ({SCORED}))
         SELECT count(*) n_total, count(*) FILTER (skip) n_skipped, count(*) FILTER (NOT skip AND fail_reason IS NULL) n_passed, count(*) FILTER (NOT skip AND fail_reason IS NOT NULL) n_rejected,
         round(count(*) FILTER (NOT skip AND fail_reason IS NULL) / count(*) FILTER (NOT skip), 6) pass_rate FROM s""",

@@ -33,3 +33,17 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "IsNotNull(width)" in text and "source_url" not in text
     text = plan(spark, "queue_stats")
     assert "ReadSchema: struct<status:string>" in text
+
+
+def test_every_scored_picture_has_a_reason(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, 100, 900, None, None, None), (2, 900, 900, None, nan, nan), (3, 900, 900, nan, None, 300.0), (4, 900, 900, inf, 0.1, 100.0),
+        (5, 900, 900, 2e6, 0.9, nan), (6, 900, 900, -inf, nan, 100.0), (7, 900, 900, 90.0, 0.9, 10.0), (7, 900, 900, 90.0, 0.9, 10.0), (8, 900, 900, 100.0, 0.9, inf),
+    ]
+    df = spark.createDataFrame([(*r, "A") for r in rows], "id long, width int, height int, blur_score double, lighting_uniformity double, mean_brightness double, grade string")
+    df.write.parquet(str(tmp_path / "quality_result.parquet"))
+    got = {r.reason: r.n for r in catalogue.queries()["quality_reasons_all"](spark, str(tmp_path)).collect()}
+    assert got == {"resolution_too_small": 1, "PASS": 2, "overexposed": 2, "lighting_uneven": 1, "blur_too_low": 1, "underexposed": 1}
+    means = {r.metric: r["mean"] for r in catalogue.queries()["batch_mean_of_means_all"](spark, str(tmp_path)).collect()}
+    assert means == {"blur_score": pytest.approx((2e6 + 90 + 100) / 3, abs=1e-4), "lighting_uniformity": pytest.approx(0.7), "mean_brightness": pytest.approx(127.5)}

@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from pairlake.functions.texts import mentions
 from pairlake.functions.vocabulary import AFTER_WORDS, BEFORE_WORDS
 from pairlake.operators import pairing
+from pairlake.runtime import written
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: A start tag of the first kind ends an open one of the second.
 ENDS = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
-ELEMENT = "pos int, tag string, attrs map<string,string>, text string, parent int, depth int, heading string, path string"
+ELEMENT = "pos int, tag string, attrs map<string,string>, text string, parent int, depth int, heading string, path string, last int, near string"
+#: A picture's text is looked for in so many nodes after it.
+NEAR = 3
 
 
 class _Reader(HTMLParser):
@@ -32,6 +35,8 @@ class _Reader(HTMLParser):
         self.open: list[int] = []
         self.heading = ""
         self.skip = False
+        #: By position of the element around (-1: none), its texts (lists of parts) and elements (positions) in order.
+        self.inside: dict[int, list[list[str] | int]] = {}
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         while self.open and self.rows[self.open[-1]]["tag"] in ENDS.get(tag, ()):
@@ -39,11 +44,13 @@ class _Reader(HTMLParser):
         path = "/".join(self.rows[k]["tag"] for k in self.open)
         row = {"pos": len(self.rows), "tag": tag, "attrs": {k: v or "" for k, v in attrs}, "text": [], "parent": self.open[-1] if self.open else -1, "depth": len(self.open), "heading": self.heading, "path": path}
         self.rows.append(row)
+        self.inside.setdefault(row["parent"], []).append(row["pos"])
         if tag not in VOID:
             self.open.append(row["pos"])
 
     def _close(self) -> None:
         row = self.rows[self.open.pop()]
+        row["last"] = len(self.rows) - 1
         if row["tag"] in HEADINGS:
             self.heading = " ".join("".join(row["text"]).split())
 
@@ -57,6 +64,22 @@ class _Reader(HTMLParser):
         if self.open and self.rows[self.open[-1]]["tag"] not in ("script", "style"):
             for k in self.open:
                 self.rows[k]["text"].append(data)
+        if not self.open or self.rows[self.open[-1]]["tag"] not in ("script", "style"):
+            nodes = self.inside.setdefault(self.open[-1] if self.open else -1, [])
+            if nodes and isinstance(nodes[-1], list):
+                nodes[-1].append(data)
+            else:
+                nodes.append([data])
+
+    def near(self) -> dict[int, str]:
+        """Texts of the ``NEAR`` nodes after each picture, texts and elements alike."""
+        out = {}
+        for nodes in self.inside.values():
+            for k, at in enumerate(nodes):
+                if isinstance(at, int) and self.rows[at]["tag"] == "img":
+                    said = [x if isinstance(x, list) else self.rows[x]["text"] for x in nodes[k + 1 : k + 1 + NEAR]]
+                    out[at] = " ".join("".join(t for part in said for t in part).split())
+        return out
 
 
 def read_elements(html: str | None) -> list[dict]:
@@ -64,11 +87,17 @@ def read_elements(html: str | None) -> list[dict]:
     reader = _Reader()
     reader.feed(html or "")
     reader.close()
-    return [r | {"text": " ".join("".join(r["text"]).split())} for r in reader.rows]
+    end, near = len(reader.rows) - 1, reader.near()
+    last = {k: end for k in reader.open}
+    return [r | {"text": " ".join("".join(r["text"]).split()), "last": last.get(k, r.get("last", k)), "near": near.get(k)} for k, r in enumerate(reader.rows)]
 
 
 def elements(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """(page_id, pos, tag, attrs, text, parent, depth, heading, path): one row per start tag; null pages give none."""
+    """(page_id, pos, tag, attrs, text, parent, depth, heading, path, last, near): one row per start tag; null pages give none.
+
+    ``last`` is the position of the last element inside (its own where there is none), ``near`` the text of the
+    three nodes after a picture.
+    """
     kind = dict(pages.dtypes)[page_id]
     cols = [c.split()[0] for c in ELEMENT.split(", ")]
 
@@ -90,7 +119,7 @@ def links(els: DataFrame, page_id: str = "page_id") -> DataFrame:
 
 
 def images(els: DataFrame, page_id: str = "page_id") -> DataFrame:
-    """(page_id, pos, parent, src, alt, class, caption, heading, n_siblings): pictures with what is said about them.
+    """(page_id, pos, parent, src, alt, class, caption, heading, near, n_siblings): pictures with what is said about them.
 
     ``caption`` is the text of the figure around a picture, else of the paragraph or division that follows it.
     """
@@ -98,7 +127,7 @@ def images(els: DataFrame, page_id: str = "page_id") -> DataFrame:
     # the nearest text after an element is the last one before it in falling order, a running frame
     after = Window.partitionBy(page_id, "parent").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
     own = own.withColumn("next_text", F.last(F.when(F.col("tag") != "img", F.col("text")), ignorenulls=True).over(after))
-    pics = own.where("tag = 'img'").select(page_id, "pos", "parent", "next_text", F.coalesce(attribute("src"), attribute("data-src")).alias("src"), attribute("alt").alias("alt"), attribute("class").alias("class"), "attrs", "heading")
+    pics = own.where("tag = 'img'").select(page_id, "pos", "parent", "next_text", F.coalesce(attribute("src"), attribute("data-src")).alias("src"), attribute("alt").alias("alt"), attribute("class").alias("class"), "attrs", "heading", "near")
     around = els.select(page_id, F.col("pos").alias("parent"), F.col("tag").alias("around"), F.col("attrs").alias("around_attrs"), F.col("text").alias("around_text"))
     same = pics.groupBy(page_id, "parent").agg(F.count(F.lit(1)).alias("n_siblings"))
     out = pics.join(around, [page_id, "parent"], "left").join(same, [page_id, "parent"], "left")
@@ -136,22 +165,47 @@ def picture_signs(pics: DataFrame, page_id: str = "page_id") -> DataFrame:
     return rows.where("src is not null").groupBy(page_id, "src").agg(F.max("b").alias("strong_before"), F.max("a").alias("strong_after"), F.max("w").alias("weak"))
 
 
+def slide_pairs(els: DataFrame, pics: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """(page_id, n, before, after): the first two pictures of each slide, then slides named before and after, zipped; each pair once."""
+    c = F.coalesce(attribute("class"), F.lit(""))
+    slide = F.contains(c, F.lit("slide")) | F.contains(c, F.lit("Slide")) | F.contains(c, F.lit("carousel-item")) | attribute("data-slide-index").isNotNull()
+    slide = slide | ((F.col("tag") == "li") & F.contains(c, F.lit("gallery")))
+    slides = els.where(slide).select(page_id, F.col("pos").alias("slide"), "last", F.col("text").alias("label"))
+    held = slides.join(pics.select(page_id, "pos", "src", "alt"), page_id).where("pos > slide and pos <= last")
+    whole = held.groupBy(page_id, "slide").agg(F.min_by("src", "pos").alias("src"), F.array_join(F.collect_list("alt"), " ").alias("alts"), F.first("label").alias("label"))
+    dual = pairing.first_two(held, [page_id, "slide"], ["pos"], "src").select(page_id, F.lit(0).alias("kind"), F.col("slide").alias("k"), "before", "after")
+    cross = pairing.zip_pairs(whole, [page_id], side(F.col("label"), F.col("alts")), ["slide"], "src").select(page_id, F.lit(1).alias("kind"), F.col("n").alias("k"), "before", "after")
+    once = pairing.first_wins(dual.unionByName(cross), [page_id, "before", "after"], ["kind", "k"])
+    return once.select(page_id, F.row_number().over(Window.partitionBy(page_id).orderBy("kind", "k")).alias("n"), "before", "after")
+
+
+#: Strategies of ``candidate_pairs`` as they are tried.
+TRIED = [1, 2, 5, 3, 6, 4]
+
+
 def candidate_pairs(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """(page_id, strategy, n, before, after) by the first strategy that finds pairs on a page.
 
     1 both in one element's attributes; 2 figures whose caption speaks of a pair, first two pictures;
-    3 pictures named before and after, zipped; 4 containers of pictures, neighbours.
+    3 pictures named before and after, zipped; 4 containers of pictures, neighbours; 5 slides; 6 pictures
+    followed by texts that speak of before and after, zipped. They are tried in the order of ``TRIED``.
     """
-    els = elements(pages, page_id, html)
-    pics = images(els, page_id).where("src is not null")
+    # six strategies read them, pages are parsed once
+    els = written(elements(pages, page_id, html), "elements")
+    pics = written(images(els, page_id).where("src is not null"), "pictures")
     one = attribute_pairs(els, page_id=page_id).withColumns({"n": F.row_number().over(Window.partitionBy(page_id).orderBy("pos")), "strategy": F.lit(1)})
     figures = pics.where((F.col("around") == "figure") & mentions(F.col("caption"), BEFORE_WORDS) & mentions(F.col("caption"), AFTER_WORDS))
     two = pairing.first_two(figures, [page_id, "parent"], ["pos"], "src").withColumns({"n": F.row_number().over(Window.partitionBy(page_id).orderBy("parent")), "strategy": F.lit(2)})
     three = pairing.zip_pairs(pics, [page_id], side(F.col("alt"), F.col("src"), F.col("class")), ["pos"], "src").withColumn("strategy", F.lit(3))
     four = pairing.adjacent_pairs(pics.where("n_siblings >= 2"), [page_id, "parent"], ["pos"], "src").withColumn("strategy", F.lit(4))
+    five = slide_pairs(els, pics, page_id).withColumn("strategy", F.lit(5))
+    six = pairing.zip_pairs(pics, [page_id], side(F.col("near")), ["pos"], "src").withColumn("strategy", F.lit(6))
     cols = [page_id, "strategy", "n", "before", "after"]
-    every = one.select(*cols).unionByName(two.select(*cols)).unionByName(three.select(*cols)).unionByName(four.select(*cols))
-    return pairing.first_strategy(every, [page_id], "strategy")
+    every = one.select(*cols)
+    for found in (two, three, four, five, six):
+        every = every.unionByName(found.select(*cols))
+    tried = F.array_position(F.array(*[F.lit(k) for k in TRIED]), F.col("strategy"))
+    return pairing.first_strategy(every.withColumn("tried_", tried), [page_id], "tried_").drop("tried_")
 
 
 LISTING = "data struct<after:string, children:array<struct<data:struct<title:string, permalink:string, is_gallery:boolean, media_metadata:map<string,struct<status:string, s:struct<u:string,gif:string>>>>>>>"

@@ -64,6 +64,20 @@ def test_candidate_pairs(spark):
     assert score == 0.55
 
 
+def test_slides_and_texts_that_follow(spark):
+    dual = '<li class="gallery-x"><p><img src="a"></p><div><img src="b"></div></li><div class="Slide one">Before<img src="c"></div><div data-slide-index="2"><img src="d" alt="after"></div><img src="no">'
+    follow = '<div><img src="x1"><br>\n<b>antes</b><img src="x2"> <i>done</i> depois</div><div><img src="x3"><br><br><br>before</div>'
+    root = '<img src="r1">시술 전<img src="r2">시술 후 before'
+    pages = spark.createDataFrame([(1, dual), (2, follow), (3, '<div><img src="m">text<img src="n"></div>'), (4, root)], "page_id long, html string")
+    got = rows(html.candidate_pairs(pages), "page_id", "strategy", "n", "before", "after")
+    assert got == [(1, 5, 1, "a", "b"), (1, 5, 2, "c", "d"), (2, 6, 1, "x1", "x2"), (3, 4, 1, "m", "n"), (4, 4, 1, "r1", "r2")]
+    nested = '<div class="slider"><div class="slide"><img src="a"><img src="b"></div></div>'
+    els = {e["pos"]: e for e in html.read_elements(nested + "<p><img src=c>")}
+    assert [els[k]["last"] for k in sorted(els)] == [3, 3, 2, 3, 5, 5]
+    pages = spark.createDataFrame([(1, nested)], "page_id long, html string")
+    assert rows(html.candidate_pairs(pages), "strategy", "n", "before", "after") == [(5, 1, "a", "b")]
+
+
 def test_listings_and_scripts(spark):
     media = ",".join(f'"m{k}":{{"status":"{"valid" if k != 2 else "bad"}","s":{{"u":"https://i/{k}?a=1&amp;b=2"}}}}' for k in range(5))
     post = f'{{"data":{{"title":"Before and after","permalink":"/p","is_gallery":true,"media_metadata":{{{media}}}}}}}'

@@ -21,7 +21,8 @@ are marked longest first and never overlap. Tiles then count as follows.
 
 Documents are read in one pass without a shuffle. What is sent to executors
 is the item index; it is bounded by ``MAX_BLOCK_WORDS`` words of items, and
-more items than that are done in several passes, one block of items each.
+more items than that are done in several passes, one block of items each. What
+items share is found over all of them on the driver, before they are divided.
 
 Cases: null, empty or wordless documents and items give no row; a document
 repeated under the same id gives repeated rows only if the input repeats it
@@ -50,19 +51,30 @@ MAX_BLOCK_WORDS = 2_000_000
 BASE, MOD = 1_000_003, (1 << 61) - 1
 
 
+class Wording:
+    """Owners of seeds (-1 where items share one) and the number of items with each word, over all items."""
+
+    def __init__(self, texts: dict[int, list[str]], seed: int = SEED) -> None:
+        self.owners: dict[tuple[str, ...], int] = {}
+        self.df: Counter[str] = Counter()
+        for i, w in texts.items():
+            self.df.update(set(w))
+            for k in range(len(w) - seed + 1):
+                g = tuple(w[k : k + seed])
+                self.owners[g] = i if self.owners.get(g, i) == i else -1
+
+
 class ItemIndex:
-    """Seeds of evaluation items with their rarest words, and each item's words."""
+    """Seeds of evaluation items with their rarest words, and each item's words.
 
-    def __init__(self, items: list[tuple[int, str]], seed: int = SEED) -> None:
+    ``wording`` is that of all items, where these are only a block of them.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], seed: int = SEED, wording: Wording | None = None) -> None:
         self.seed = seed
         self.words = {i: w for i, t in items if (w := words(t))}
-        owners: dict[tuple[str, ...], int] = {}
-        df: Counter[str] = Counter()
-        for i, w in self.words.items():
-            df.update(set(w))
-            for k in range(len(w) - seed + 1):
-                g = tuple(w[k : k + seed])
-                owners[g] = i if owners.get(g, i) == i else -1
+        every = wording or Wording(self.words, seed)
+        owners, df = every.owners, every.df
         self.countable: dict[int, list[bool]] = {}
         self.distinctive = {i: [df[x] == 1 for x in w] for i, w in self.words.items()}
         self.anchor: dict[str, list[tuple[int, tuple[str, ...], int]]] = defaultdict(list)
@@ -73,7 +85,7 @@ class ItemIndex:
                     own[k : k + seed] = [True] * seed
             self.countable[i] = own
         for g, i in owners.items():
-            if i != -1:
+            if i != -1 and i in self.words:
                 at = min(range(seed), key=lambda k: (df[g[k]], -len(g[k])))
                 self.anchor[g[at]].append((at, g, i))
         self.anchor = dict(self.anchor)
@@ -244,7 +256,7 @@ def leaks(
     size, parts = 0, []
 
     def search(own: list[tuple[int, str]]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(ItemIndex(own))
+        sent = spark.sparkContext.broadcast(ItemIndex(own, wording=wording))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             index = sent.value
@@ -255,7 +267,10 @@ def leaks(
         return docs.mapInPandas(run, schema)
 
     rows = items.select(F.col(item_col).cast("long"), F.col(item_text)).where(f"`{item_col}` is not null").distinct()
-    for item_id, text in rows.toLocalIterator():
+    texts = dict(rows.toLocalIterator())
+    # what items share is found over all of them, so that results don't depend on the blocks
+    wording = Wording({i: w for i, t in texts.items() if (w := words(t))})
+    for item_id, text in texts.items():
         n = len(words(text))
         if block and size + n > MAX_BLOCK_WORDS:
             parts.append(search(block))

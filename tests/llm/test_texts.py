@@ -114,6 +114,14 @@ def test_leaks(spark, monkeypatch):
     assert leakage.leaks(d.limit(0), i).count() == 0 and leakage.leaks(d, i.limit(0)).count() == 0
 
 
+def test_shared_wording_does_not_depend_on_blocks(spark, monkeypatch):
+    d = spark.createDataFrame([(1, ITEM), (2, "Choose the photograph in which the sky is blue but no trace of rain. Records from the past mention snow."), (3, SECOND)], "doc_id long, text string")
+    i = spark.createDataFrame([(101, ITEM), (102, SECOND)], "item_id long, text string")
+    whole = sorted(map(tuple, leakage.leaks(d, i, share=0.05).collect()))
+    monkeypatch.setattr(leakage, "MAX_BLOCK_WORDS", 10)
+    assert sorted(map(tuple, leakage.leaks(d, i, share=0.05).collect())) == whole
+
+
 def test_reordered_passages_tile_but_do_not_keep_order():
     index = leakage.ItemIndex([(1, ITEM), (2, SECOND)])
     a, b = ITEM.split(". ")

@@ -71,14 +71,19 @@ def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
 # --- 3: batches against history
 
 
-def _points(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return history_dedup.points(table(spark, sf, name))
+def _admitted(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(repeats, links) of all incoming batches, admitted one after the other to the kept table of the queue's rows."""
+    history = history_dedup.History.create(history_dedup.points(table(spark, sf, "staging_queue")))
+    return history.admit_batches(history_dedup.points(table(spark, sf, "staging_incoming"), keep=["batch_no"]), "batch_no")
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    known = history_dedup.pivot_table(_points(spark, sf, "staging_queue"))
-    repeats, _ = history_dedup.admit(known, cut(_points(spark, sf, "staging_incoming")))
-    return repeats
+    return _admitted(spark, sf)[0]
+
+
+def p3_near(spark: SparkSession, sf: str) -> DataFrame:
+    """Incoming rows beside which an accepted one has the neighbouring shot of one of the two pictures (one row per two pictures)."""
+    return _admitted(spark, sf)[1].where("not same").select("id", F.col("known_id").alias("near_id"), "distance")
 
 
 def p3_batches(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,7 +255,7 @@ def p10_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_nested_caps, p2_found, p2_splits, p3_found, p3_batches, p4_found, p4_unmatched, p5_found, p5_cutoffs, p6_found, p6_sample,
+        p1_found, p1_nested_caps, p2_found, p2_splits, p3_found, p3_near, p3_batches, p4_found, p4_unmatched, p5_found, p5_cutoffs, p6_found, p6_sample,
         p7_percentiles, p7_counts, p8_packing, p8_fill, p9_found, p9_leaks, p10_found, p10_profile,
     ]
     return {f.__name__: f for f in own}

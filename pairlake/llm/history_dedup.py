@@ -1,134 +1,221 @@
-"""New batches against all accepted history, over a table of distances to pivots.
-
-Two rows repeat each other if their before pictures and their after pictures
-are the same. A row's point is the pair of 128-bit fingerprints of its two
-pictures; the metric is the Hamming distance of the 256 bits: 0 for the same
-two pictures, about 64 if one of the two differs, about 128 if both do, so a
-radius separates these cases. The pivot table keeps, for every accepted row,
-its fingerprint and its distances to ``PIVOTS`` fixed points. By the triangle
-inequality two rows within radius r have pivot distances that differ by at
-most r, so the join compares only rows in the same (or neighbouring) cells of
-pivot distances; candidates are then verified by the true distance.
-
-History is turned into the table once. A batch adds its own rows to it and
-never goes through the history's addresses again; several batches that wait
-are admitted in one pass, which gives what admitting them one by one gives,
-because a row's first row is the smallest id with the same pictures. On disk
-the table is kept range-partitioned and sorted by the first distances, so a
-batch's cells prune what is read.
-
-Fingerprints spread evenly over cells, so a source that supplies a third of
-all rows is no hot cell. Copies of one row do share a cell; new and old ones are
-reduced to one row each before fingerprints are compared. Only the last join,
-of the new rows with the outcome of their fingerprint (one row), meets all
-copies; such a join is what AQE splits.
+"""New batches against all accepted history, over a kept table of distances to pivots.
+
+A row's point has four coordinates, two for its before and two for its after
+picture. A coordinate is a number whose leading digits are a hash of the site,
+then of the case, then of the series (role and file name without its last
+number), and whose last digits are the file's number itself, so it keeps
+likeness: shots that follow each other in a series lie one apart in both of
+their picture's coordinates, other pictures lie far away. The metric is the sum
+of the coordinates' differences (L1): 0 for the same two pictures, 2 if one of
+the two is the neighbouring shot.
+
+The pivot table keeps for every accepted row its point and its distances to
+four fixed pivots. By the triangle inequality two rows within radius r have
+distances to every pivot that differ by at most r: the join takes cells of the
+first two pivots, drops what another pivot tells apart, and verifies the true
+distance. Rows within the radius are near-duplicates; those that also agree in
+a 128-bit hash of the two pictures (the exact check) are repeats.
+
+``History`` is that table in the shared folder, range-partitioned and sorted
+by the first distance. Accepted addresses are parsed once, when it is made. A
+batch is parsed alone, reads only the ranges that its own distances reach
+(partition pruning), is joined range by range without moving history while it
+is of bounded size, and appends its new rows; batches are admitted in order.
+
+Copies of one row are one point of the table, so they are no hot cell; ranges
+come from the data's own distribution, so a site with a third of all rows
+spreads over a third of the ranges. Only the last join, of the new rows with the
+outcome of their pictures (one row), meets all copies; such a join is what AQE
+splits.
 
 Cases: a row whose pictures can't be read from its addresses (null or blank)
 is no repetition of anything; an address of unknown form stands for itself;
-repeated ids count once; empty batches and an empty history give no rows.
+repeated ids count once; empty batches and an empty history give no rows. Ids
+rise from batch to batch: the row admitted first is the one repeated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairlake.llm.pictures import with_pictures
-
-WORDS = 4
-#: Fixed points: 256 bits each, taken from a hash of their number.
-PIVOTS = 8
-
-
-def points(rows: DataFrame, id_col: str = "id", before: str = "before_url", after: str = "after_url") -> DataFrame:
-    """(id, f0..f3): two 64-bit words per picture; a picture that can't be read is like no other row's.
+from pairlake.runtime import BROADCAST_ROWS, cut, fresh_path
+
+PRINTS = ["f0", "f1"]
+COORDINATES = ["c0", "c1", "c2", "c3"]
+DISTANCES = ["d0", "d1", "d2", "d3"]
+COLUMNS = ["id", *PRINTS, *COORDINATES, *DISTANCES]
+#: Bits of a coordinate: site, case, series, number.
+SITE_BITS, CASE_BITS, SERIES_BITS, NUMBER_BITS = 14, 14, 12, 20
+#: Fixed points: corners of the space, all coordinates are below TOP.
+TOP = 1 << (SITE_BITS + CASE_BITS + SERIES_BITS + NUMBER_BITS)
+PIVOTS = [(0, 0, 0, 0), (0, 0, TOP, TOP), (0, TOP, 0, TOP), (0, TOP, TOP, 0)]
+#: One of the two pictures may be the neighbouring shot.
+RADIUS = 2
+#: History has about so many rows in a range; ranges are at least 8, at most 256.
+RANGE_ROWS = 100_000
+NUMBER = r"(\d{1,6})$"
+
+
+def points(rows: DataFrame, id_col: str = "id", before: str = "before_url", after: str = "after_url", keep: list[str] | None = None) -> DataFrame:
+    """(id, f0, f1, c0..c3, kept columns); a picture that can't be read is like no other row's.
 
     Nothing is filtered on what is computed here: such a filter would be pushed to the scan with
     all of the address's stages in one expression.
     """
-    own = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(before).alias("b"), F.col(after).alias("a"))
+    keep = keep or []
+    own = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(before).alias("b"), F.col(after).alias("a"), *keep)
     own = with_pictures(own, {"b": "pb", "a": "pa"})
-    whole = {p: F.coalesce(F.nullif(F.col(p), F.lit("")), F.concat(F.lit(f"{p} of row "), F.col("id").cast("string"))) for p in ("pb", "pa")}
-    words = [F.xxhash64(F.lit(k), p) for p in ("pb", "pa") for k in (11, 23)]
-    return own.withColumns(whole).select("id", *[w.alias(f"f{k}") for k, w in enumerate(words)])
-
-
-def _pivot(n: int) -> list[int]:
-    import hashlib
-
-    raw = hashlib.sha256(b"pivot %d" % n).digest()
-    return [int.from_bytes(raw[8 * k : 8 * k + 8], "big", signed=True) for k in range(WORDS)]
+    sides = ("pb", "pa")
+    own = own.withColumns({p: F.coalesce(F.nullif(F.col(p), F.lit("")), F.concat(F.lit(f"{p} of row "), F.col("id").cast("string"), F.lit("."))) for p in sides})
+    own = own.withColumns({f"{p}_n": F.regexp_extract(p, NUMBER, 1) for p in sides})
+    own = own.withColumns({f"{p}_s": F.substring(F.col(p), F.lit(1), F.length(p) - F.length(f"{p}_n")) for p in sides})
+    # bits, not divisions: what can't be null has no filter that would be pushed down into the parsing
+    hashed = lambda seed, x, bits: F.xxhash64(F.lit(seed), x).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+
+    def coordinate(p: str, seed: int) -> Column:
+        site, case = F.substring_index(p, "|", 1), F.substring_index(p, "|", 2)
+        parts = [(hashed(seed, site, SITE_BITS), CASE_BITS), (hashed(seed, case, CASE_BITS), SERIES_BITS), (hashed(seed, F.col(f"{p}_s"), SERIES_BITS), NUMBER_BITS)]
+        total = F.lit(0).cast("long")
+        for value, shift in parts:
+            total = F.shiftleft(total + value, shift)
+        return total + F.coalesce(F.nullif(F.col(f"{p}_n"), F.lit("")).cast("long"), F.lit(0))
+
+    prints = [F.xxhash64(F.lit(k), *sides).alias(f) for k, f in zip((11, 23), PRINTS)]
+    coordinates = [coordinate(p, seed) for p in sides for seed in (5, 7)]
+    return own.select("id", *prints, *[c.alias(n) for c, n in zip(coordinates, COORDINATES)], *keep)
 
 
 def _distance(a: list[Column], b: list[Column]) -> Column:
-    total = F.bit_count(a[0].bitwiseXOR(b[0]))
+    total = F.abs(a[0] - b[0])
     for x, y in zip(a[1:], b[1:]):
-        total = total + F.bit_count(x.bitwiseXOR(y))
+        total = total + F.abs(x - y)
     return total
 
 
-def pivot_table(pts: DataFrame) -> DataFrame:
-    """(id, f0..f3, d0..d7): one row per fingerprint, the smallest id; distances to all pivots."""
-    first = pts.groupBy(*[f"f{k}" for k in range(WORDS)]).agg(F.min("id").alias("id"))
-    return with_distances(first)
+def with_distances(pts: DataFrame) -> DataFrame:
+    own = [F.col(c) for c in COORDINATES]
+    return pts.withColumns({d: _distance(own, [F.lit(x).cast("long") for x in p]) for d, p in zip(DISTANCES, PIVOTS)})
 
 
-def with_distances(pts: DataFrame) -> DataFrame:
-    own = [F.col(f"f{k}") for k in range(WORDS)]
-    return pts.withColumns({f"d{n}": _distance(own, [F.lit(w) for w in _pivot(n)])for n in range(PIVOTS)})
+def pivot_table(pts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(id, f0, f1, c0..c3, d0..d3): one row per two pictures (and ``by``), the smallest id; distances to all pivots."""
+    first = pts.groupBy(*(by or []), *PRINTS, *COORDINATES).agg(F.min("id").alias("id"))
+    return with_distances(first).select(*COLUMNS, *(by or []))
 
 
 def write_table(table: DataFrame, path: str, mode: str = "append", files: int | None = None) -> None:
-    """Adds rows to a pivot table on disk, range-partitioned and sorted by the first distances."""
+    """Adds rows to a pivot table on disk, range-partitioned and sorted by the first distance."""
     by = ["d0", "d1", "d2"]
     (table.repartitionByRange(files, *by) if files else table.repartitionByRange(*by)).sortWithinPartitions(*by).write.mode(mode).parquet(path)
 
 
-def near(known: DataFrame, new: DataFrame, radius: int = 0) -> DataFrame:
-    """(id, known_id, distance) of all rows of two pivot tables within the radius of each other.
+def near(known: DataFrame, new: DataFrame, radius: int = RADIUS, small: bool = False) -> DataFrame:
+    """(id, f0, f1, known_id, distance, same) of all rows of two pivot tables within the radius of each other.
 
-    With radius 0 rows must lie in the same cell of all pivots; with a larger one in the same or
-    neighbouring cells of the first two pivots, and within the radius for each of the others.
+    Rows meet in cells of the first two pivots, wide enough that most of ``new`` reaches one cell only.
+    ``small``: ``new`` is known to be of bounded size and is sent to where ``known`` lies.
     """
-    k = known.select(*[F.col(c).alias(f"k_{c}") for c in known.columns])
-    gap = _distance([F.col(f"f{n}") for n in range(WORDS)], [F.col(f"k_f{n}") for n in range(WORDS)])
-    if radius == 0:
-        # one key of all distances: each is at most 256 and gets 9 bits; seven fit into one number
-        def cell(p: str) -> list[Column]:
-            packed = F.col(f"{p}d0").cast("long")
-            for n in range(1, 7):
-                packed = F.shiftleft(packed, 9).bitwiseOR(F.col(f"{p}d{n}").cast("long"))
-            return [packed, F.col(f"{p}d7")]
-
-        left = new.withColumns(dict(zip(("cell_a", "cell_b"), cell(""))))
-        right = k.withColumns(dict(zip(("cell_a", "cell_b"), cell("k_"))))
-        joined = left.join(right, ["cell_a", "cell_b"])
-    else:
-        width = radius + 1
-        for n in (0, 1):
-            side = F.floor(F.col(f"d{n}") / width)
-            new = new.withColumn(f"cell_{n}", F.explode(F.sequence(side - 1, side + 1)))
-            k = k.withColumn(f"cell_{n}", F.floor(F.col(f"k_d{n}") / width))
-        joined = new.join(k, ["cell_0", "cell_1"])
-        for n in range(PIVOTS):
-            joined = joined.where(F.abs(F.col(f"d{n}") - F.col(f"k_d{n}")) <= radius)
-    return joined.select("id", F.col("k_id").alias("known_id"), gap.alias("distance")).where(F.col("distance") <= radius)
-
-
-def admit(known: DataFrame, incoming: DataFrame, radius: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(repeats, additions) of new points against a pivot table.
-
-    repeats: (first_id, dup_id), the smallest id in history or among the new rows within the radius;
-    additions: the pivot table's rows to append, one per new fingerprint.
+    bits = (4 * radius + 3).bit_length()
+    # one struct a row instead of eleven renamed columns: the optimizer infers less from it
+    left = new.select(F.struct(*COLUMNS).alias("n"))
+    for k in (0, 1):
+        d = F.col(f"n.d{k}")
+        left = left.withColumn(f"cell_{k}", F.explode(F.sequence(F.shiftright(d - radius, bits), F.shiftright(d + radius, bits))))
+    right = known.select(F.struct(*COLUMNS).alias("k"), *[F.shiftright(f"d{k}", bits).alias(f"cell_{k}") for k in (0, 1)])
+    joined = right.join(F.broadcast(left) if small else left, ["cell_0", "cell_1"])
+    close = F.lit(True)
+    for d in DISTANCES:
+        close = close & (F.abs(F.col(f"k.{d}") - F.col(f"n.{d}")) <= radius)
+    gap = _distance([F.col(f"k.{c}") for c in COORDINATES], [F.col(f"n.{c}") for c in COORDINATES])
+    same = (F.col("k.f0") == F.col("n.f0")) & (F.col("k.f1") == F.col("n.f1"))
+    return joined.where(close).select("n.id", "n.f0", "n.f1", F.col("k.id").alias("known_id"), gap.alias("distance"), same.alias("same")).where(F.col("distance") <= radius)
+
+
+def repeated(incoming: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(first_id, dup_id) of rows (id, f0, f1) whose two pictures were admitted under a smaller id; firsts: (f0, f1, first_id)."""
+    least = firsts.groupBy(*PRINTS).agg(F.min("first_id").alias("first_id"))
+    return incoming.select("id", *PRINTS).join(least, PRINTS).where("first_id < id").select("first_id", F.col("id").alias("dup_id")).distinct()
+
+
+def admit(known: DataFrame, incoming: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """(repeats, additions) of one batch of points against a pivot table.
+
+    repeats: (first_id, dup_id), the smallest id in history or in the batch with the same two pictures;
+    additions: the pivot table's rows to append, one per new two pictures.
     """
-    words = [f"f{k}" for k in range(WORDS)]
-    added = pivot_table(incoming)
-    # fingerprints are compared, each once; rows get the outcome of theirs at the end
-    found = near(known, added, radius)
-    if radius:
-        found = found.unionByName(near(added, added, radius))
-    best = found.groupBy("id").agg(F.min("known_id").alias("known_id"))
-    firsts = added.select("id", *words).join(best, "id", "left").select(*words, F.least("id", "known_id").alias("first_id"))
-    repeats = incoming.select("id", *words).join(firsts, words).where("first_id < id").select("first_id", F.col("id").alias("dup_id")).distinct()
-    fresh = added.join(known.select(*words), words, "left_anti")
-    return repeats, fresh
+    added = cut(pivot_table(incoming))
+    found = near(known, added, radius).where("same")
+    firsts = found.select(*PRINTS, F.col("known_id").alias("first_id")).unionByName(added.select(*PRINTS, F.col("id").alias("first_id")))
+    return repeated(incoming, firsts), added.join(found.select("id"), "id", "left_anti").select(*COLUMNS)
+
+
+class History:
+    """A pivot table in the shared folder, in ranges (``cell``) of the first distance."""
+
+    def __init__(self, spark: SparkSession, path: str, lows: list[int]) -> None:
+        self.spark, self.path, self.lows = spark, path, lows
+
+    @classmethod
+    def create(cls, pts: DataFrame, path: str | None = None) -> History:
+        """Makes the table of accepted rows; their addresses are never read again."""
+        spark = pts.sparkSession
+        path = path or fresh_path(spark, "history")
+        ranges = max(8, min(256, pts.count() // RANGE_ROWS))
+        ranged = pivot_table(pts).repartitionByRange(ranges, "d0").withColumn("cell", F.spark_partition_id())
+        ranged.sortWithinPartitions("cell", "d0").write.partitionBy("cell").parquet(path)
+        return cls.open(spark, path)
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> History:
+        """A table made before; its ranges' lower ends (at most 256 numbers) are taken from it."""
+        own = cls(spark, path, [])
+        own.lows = [r["low"] for r in own.rows().groupBy("cell").agg(F.min("d0").alias("low")).orderBy("low").collect()][1:]
+        return own
+
+    def rows(self, cells: list[int] | None = None) -> DataFrame:
+        """The table, or the rows of some ranges: others are not read."""
+        schema = ", ".join(f"{c} long" for c in COLUMNS) + ", cell int"
+        every = self.spark.read.schema(schema).parquet(self.path)
+        return every if cells is None else every.where(F.col("cell").isin(cells))
+
+    def cell(self, distance: Column) -> Column:
+        """The range of a distance."""
+        if not self.lows:
+            return F.lit(0)
+        return F.size(F.filter(F.array(*[F.lit(x) for x in self.lows]), lambda x: x <= distance))
+
+    def append(self, fresh: DataFrame, small: bool = False) -> None:
+        """Adds rows; ``small``: they are known to be of bounded size and are written by one task."""
+        own = fresh.select(*COLUMNS, self.cell(F.col("d0")).alias("cell"))
+        own = own.coalesce(1) if small else own.repartition("cell")
+        own.sortWithinPartitions("cell", "d0").write.mode("append").partitionBy("cell").parquet(self.path)
+
+    def admit_batches(self, incoming: DataFrame, batch: str, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+        """(repeats, links) of points with a batch number; batches are admitted in order, each appends its new rows.
+
+        repeats: (first_id, dup_id); links: (id, f0, f1, known_id, distance, same), all pairs of
+        one row per two pictures within the radius. Rows without a batch number come first.
+        """
+        read = lambda path, schema: self.spark.read.schema(schema).parquet(path)
+        longs = lambda names: ", ".join(f"{c} long" for c in names)
+        rows = cut(incoming.select("id", *PRINTS, *COORDINATES, F.coalesce(F.col(batch).cast("long"), F.lit(-1)).alias("batch")))
+        reach = [self.cell(F.col("d0") + s).alias(n) for s, n in ((-radius, "low"), (radius, "high"))]
+        parts, links = fresh_path(self.spark, "batches"), fresh_path(self.spark, "links")
+        pivot_table(rows, ["batch"]).withColumns({"low": reach[0], "high": reach[1]}).repartition("batch").write.partitionBy("batch").parquet(parts)
+        own_schema, link_schema = longs(COLUMNS) + ", low int, high int", longs(["id", *PRINTS, "known_id", "distance"]) + ", same boolean"
+        reached = self.spark.read.schema(own_schema + ", batch long").parquet(parts)
+        plan = reached.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.collect_set("low").alias("lows"), F.collect_set("high").alias("highs")).orderBy("batch").collect()
+        for r in plan:
+            own = read(f"{parts}/batch={r['batch']}", own_schema).select(*COLUMNS)
+            known = self.rows(sorted({*r["lows"], *r["highs"]})).select(*COLUMNS).unionByName(own)
+            small = r["n"] <= BROADCAST_ROWS
+            near(known, own, radius, small).where("known_id < id").write.parquet(f"{links}/{r['batch']}")
+            found = read(f"{links}/{r['batch']}", link_schema).where("same").select("id")
+            self.append(own.join(F.broadcast(found) if small else found, "id", "left_anti"), small)
+        done = [f"{links}/{r['batch']}" for r in plan]
+        found = self.spark.read.schema(link_schema).parquet(*done) if done else self.spark.createDataFrame([], link_schema)
+        # a row of its own batch is a first one unless a smaller id was linked to it
+        firsts = found.where("same").select(*PRINTS, F.col("known_id").alias("first_id")).unionByName(reached.select(*PRINTS, F.col("id").alias("first_id")))
+        return repeated(rows, firsts), found

@@ -161,14 +161,66 @@ def test_admission_one_by_one_is_admission_at_once(spark, tmp_path):
     assert hist.admit(known.limit(0), hist.points(df.limit(1)))[0].count() == 0
 
 
-@settings(max_examples=3, deadline=None)
-@given(st.integers(0, 2**31), st.integers(90, 130))
+@settings(max_examples=4, deadline=None)
+@given(st.integers(0, 2**31), st.integers(0, 40))
 def test_pivots_lose_nothing_within_the_radius(spark, seed, radius):
     r = random.Random(seed)
-    word = lambda: r.getrandbits(64) - 2**63
-    pts = [(i, word(), word(), word(), word()) for i in range(40)]
-    df = hist.with_distances(spark.createDataFrame(pts, "id long, f0 long, f1 long, f2 long, f3 long"))
-    mask = 2**64 - 1
-    gap = lambda x, y: sum(bin((a ^ b) & mask).count("1") for a, b in zip(x[1:], y[1:]))
-    want = {(x[0], y[0], gap(x, y)) for x in pts for y in pts if gap(x, y) <= radius}
-    assert {tuple(x) for x in hist.near(df, df, radius).collect()} == want
+    spots = [tuple(r.randrange(hist.TOP) for _ in hist.COORDINATES) for _ in range(3)]
+    pts = [(i, i % 5, i % 7, *[min(hist.TOP - 1, c + r.randint(0, 12)) for c in r.choice(spots)]) for i in range(60)]
+    df = hist.with_distances(spark.createDataFrame(pts, "id long, f0 long, f1 long, c0 long, c1 long, c2 long, c3 long"))
+    gap = lambda x, y: sum(abs(a - b) for a, b in zip(x[3:], y[3:]))
+    want = {(x[0], y[0], gap(x, y), x[1:3] == y[1:3]) for x in pts for y in pts if gap(x, y) <= radius}
+    for small in (False, True):
+        assert {(x.id, x.known_id, x.distance, x.same) for x in hist.near(df, df, radius, small).collect()} == want
+
+
+SHOT = "https://a.test/c/{}/{}/IMG_{}.jpg"
+
+
+def test_batches_in_order_with_near_duplicates(spark, tmp_path):
+    r = random.Random(7)
+    pair = lambda: (r.randint(1, 2), r.randint(1, 9), r.randint(1, 9))
+    made = {i: pair() for i in range(1, 140)}
+    rows = [(i, SHOT.format(c, "before", b), SHOT.format(c, "after", a), None if i < 60 else i // 20) for i, (c, b, a) in made.items()]
+    schema = "id long, before_url string, after_url string, batch int"
+    old, new = (spark.createDataFrame([x for x in rows if ok(x[0])], schema) for ok in (lambda i: i < 60, lambda i: i >= 60))
+    first = {}
+    for i, p in made.items():
+        first.setdefault(p, i)
+    want = {(first[p], i) for i, p in made.items() if i >= 60 and first[p] != i}
+    # one row per batch and two pictures is compared with all that was accepted before, and its batch
+    own = {}
+    for i, p in made.items():
+        if i >= 60:
+            own.setdefault((i // 20, p), i)
+    next_shot = lambda p, q: p[0] == q[0] and abs(p[1] - q[1]) + abs(p[2] - q[2]) == 1
+    near = {(i, j) for (_, p), i in own.items() for q, j in first.items() if j < i and next_shot(p, q)}
+    path = str(tmp_path / "pivots")
+    old.write.parquet(str(tmp_path / "old"))
+    history = hist.History.create(hist.points(spark.read.parquet(str(tmp_path / "old"))), path)
+    assert history.rows().count() == len({p for i, p in made.items() if i < 60}) and len(history.lows) <= 256
+    repeats, links = history.admit_batches(hist.points(new, keep=["batch"]), "batch")
+    assert {(x.first_id, x.dup_id) for x in repeats.collect()} == want
+    got = links.where("not same").collect()
+    assert all(x.distance == 2 for x in got) and near <= {(x.id, x.known_id) for x in got}
+    assert history.rows().count() == len(first)
+    # a later session opens the table; neither it nor its batch reads the accepted addresses
+    again = hist.History.open(spark, path)
+    assert again.lows == history.lows
+    late = spark.createDataFrame([(900, *rows[0][1:3], 50), (901, SHOT.format(9, "before", 1), SHOT.format(9, "after", 2), 50), (902, None, None, None)], schema)
+    repeats, _ = again.admit_batches(hist.points(late, keep=["batch"]), "batch")
+    assert [tuple(x) for x in repeats.collect()] == [(first[made[1]], 900)]
+    assert all("/pivots/" in f for f in again.rows().inputFiles()) and not any("/old/" in f for f in repeats.inputFiles())
+    assert again.admit_batches(hist.points(late.limit(0), keep=["batch"]), "batch")[0].count() == 0
+
+
+def test_a_batch_reads_only_the_ranges_it_reaches(spark, tmp_path):
+    rows = [(i, SHOT.format(i, "before", 1), SHOT.format(i, "after", 2)) for i in range(1, 500)]
+    history = hist.History.create(hist.points(spark.createDataFrame(rows, "id long, before_url string, after_url string")), str(tmp_path / "p"))
+    assert len(history.lows) == 7
+    plan = history.rows([3])._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [cell" in plan
+    assert {x.cell for x in history.rows([3]).select("cell").distinct().collect()} == {3}
+    lows = [None, *history.lows]
+    for x in history.rows().select("cell", "d0", history.cell(F.col("d0")).alias("c")).collect():
+        assert x.c == x.cell and (lows[x.cell] is None or lows[x.cell] <= x.d0)

@@ -110,6 +110,12 @@ def p4_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return _mapped(spark, sf).where("term_id = 0").groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def p4_within(spark: SparkSession, sf: str) -> DataFrame:
+    """All entries within the limit of every distinct typed value."""
+    values = canonical_match.long_values(table(spark, sf, "treatment_label"), FIELDS).select("kind", "value").distinct()
+    return canonical_match.within(values, table(spark, sf, "canonical_term"))
+
+
 # --- 5: cutoffs that keep a share
 
 
@@ -255,7 +261,7 @@ def p10_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_nested_caps, p2_found, p2_splits, p3_found, p3_near, p3_batches, p4_found, p4_unmatched, p5_found, p5_cutoffs, p6_found, p6_sample,
+        p1_found, p1_nested_caps, p2_found, p2_splits, p3_found, p3_near, p3_batches, p4_found, p4_unmatched, p4_within, p5_found, p5_cutoffs, p6_found, p6_sample,
         p7_percentiles, p7_counts, p8_packing, p8_fill, p9_found, p9_leaks, p10_found, p10_profile,
     ]
     return {f.__name__: f for f in own}

@@ -67,6 +67,25 @@ def test_labels(spark, monkeypatch):
     assert {x[2] for x in get(labels, terms.limit(0))} == {0}
 
 
+def test_blocks_choose_as_one_list_and_values_may_be_long(spark, monkeypatch):
+    names = ["Restylane", "Restylame", "Botox", "Gridusbel", "Gridusbel Hydra", "Peastgo Contour", "Peastgo Ultra"]
+    terms = spark.createDataFrame([(k, "brand", n, None) for k, n in enumerate(names, 1)], "term_id long, kind string, name string, name_ko string")
+    long = "botox " + "(see notes) both sides " * 40
+    typed = ["Restylabe", "restylane 1ml", long, "x" * 100_000, "1ml " * 5000, "peast", "Gridu", "hydra gridusbel", "peastgo", "Botx", "", "??"]
+    labels = spark.createDataFrame([(k, v) for k, v in enumerate(typed)], "id long, b string")
+    get = lambda: {(x.label_id, x.term_id) for x in match.map_labels(labels, terms, {"b": "brand"}).collect()}
+    one = get()
+    assert {(0, 0), (1, 1), (2, 3), (3, 0), (4, 0), (5, 0), (6, 4), (7, 5), (9, 3)} <= one
+    for block in (1, 2, 3):
+        monkeypatch.setattr(match, "MAX_ENTRIES", block)
+        assert get() == one
+        found = match.within(match.long_values(labels, {"b": "brand"}), terms).collect()
+        assert {(x.term_id, x.distance) for x in found if x.value == "Restylabe"} == {(1, 1), (2, 1)}
+        for x in found:
+            s, n = match.letters(match.trimmed(x.value)), match.letters(match.fold(names[x.term_id - 1]))
+            assert x.distance == damerau(s, n) <= match.limit(len(s))
+
+
 def test_cutoffs_are_exact(spark):
     r = random.Random(2)
     rows = [(r.choice(["hot", "hot", "b", "c", None]), r.choice([None, 0.5, 0.5, round(r.random(), 3), 0.0, 1.0])) for _ in range(3000)]

@@ -9,9 +9,10 @@ are marked longest first and never overlap. Tiles then count as follows.
 
 * Words of an item that lie only in runs shared with other items (instruction
   sentences, question forms) count neither for nor against it.
-* A refilled question form agrees with an item in short pieces, between which
-  the words that no other item has (names and the like) are exchanged. So where
-  less than ``DISTINCTIVE`` of these words is reproduced, only long verbatim
+* The other words are weighed by one over the number of items that have them,
+  from 1 for a word of one item down to 0 for a word of all items: a refilled question form agrees with an item in short pieces of common words,
+  between which those that few items have (names and the like) are exchanged. So
+  where the weights reproduced don't reach the share, only long verbatim
   passages count, whatever words they hold: runs of at least ``VERBATIM`` words
   (tiles on both sides of one altered word that other items have too are one
   run), and single tiles that reach the share alone.
@@ -45,7 +46,6 @@ from pairlake.llm.textnorm import words
 SEED = 3
 MIN_TILE = 3
 SHARE = 1 / 3
-DISTINCTIVE = 0.25
 VERBATIM = 12
 MAX_BLOCK_WORDS = 2_000_000
 BASE, MOD = 1_000_003, (1 << 61) - 1
@@ -57,6 +57,7 @@ class Wording:
     def __init__(self, texts: dict[int, list[str]], seed: int = SEED) -> None:
         self.owners: dict[tuple[str, ...], int] = {}
         self.df: Counter[str] = Counter()
+        self.n = len(texts)
         for i, w in texts.items():
             self.df.update(set(w))
             for k in range(len(w) - seed + 1):
@@ -77,6 +78,7 @@ class ItemIndex:
         owners, df = every.owners, every.df
         self.countable: dict[int, list[bool]] = {}
         self.distinctive = {i: [df[x] == 1 for x in w] for i, w in self.words.items()}
+        self.weights: dict[int, list[float]] = {}
         self.anchor: dict[str, list[tuple[int, tuple[str, ...], int]]] = defaultdict(list)
         for i, w in self.words.items():
             own = [False] * len(w)
@@ -84,6 +86,7 @@ class ItemIndex:
                 if owners[tuple(w[k : k + seed])] == i:
                     own[k : k + seed] = [True] * seed
             self.countable[i] = own
+            self.weights[i] = [float(o) if every.n == 1 else o * (1 / df[x] - 1 / every.n) / (1 - 1 / every.n) for o, x in zip(own, w)]
         for g, i in owners.items():
             if i != -1 and i in self.words:
                 at = min(range(seed), key=lambda k: (df[g[k]], -len(g[k])))
@@ -210,13 +213,13 @@ def verbatim(found: list[tuple[int, int, int]], rare: list[bool], least: int = V
 
 def coverage(index: ItemIndex, item_id: int, doc: list[str], least: int = MIN_TILE, share: float = SHARE) -> tuple[float, float]:
     """Share of an item's countable words reproduced: in the item's order, in any order."""
-    own, rare = index.countable[item_id], index.distinctive[item_id]
+    own, rare, weights = index.countable[item_id], index.distinctive[item_id], index.weights[item_id]
     total = sum(own)
     if not total:
         return 0.0, 0.0
     matches = tiles(index.words[item_id], doc, least)
     found = [(p, q, n, weight) for p, q, n in matches if (weight := sum(own[p : p + n]))]
-    if sum(sum(rare[p : p + n]) for p, _, n in matches) < DISTINCTIVE * sum(rare):
+    if sum(sum(weights[p : p + n]) for p, _, n in matches) < share * sum(weights):
         long = verbatim(matches, rare)
         found = [x for x in found if x[:3] in long or x[3] / total >= share]
     return heaviest_chain(found) / total, sum(w for *_, w in found) / total

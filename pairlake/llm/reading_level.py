@@ -5,13 +5,15 @@ raters disagree on counts for each grade with its raters' share) and smoothed
 by adding ``SMOOTH`` to every count. Without rated documents the grades are
 seeded by a formula (letters per word and words per sentence).
 
-A text's level is the grade with the highest posterior: each sentence has a
-posterior over the grades under the models, and the document's is their mean,
-so that a pasted footer or one long quotation doesn't outweigh the rest.
-
-Words are counted in a distributed way; the models come from at most
-``MAX_RATED`` rated documents (in order of a hash of their id), which bounds
-what is sent to executors. Documents are read once for the models and once for
+A text's level is the grade with the highest posterior of the document: the
+product of its sentences' likelihoods under the models. A sentence is taken to
+be pasted from elsewhere with the chance ``PASTED``, and then says nothing of the
+grade, so that a footer or one long quotation doesn't outweigh the rest.
+
+Words are counted in a distributed way; the models come from about
+``MAX_RATED`` rated documents (those whose id's hash lies below a bound taken from
+their number), which bounds what is sent to executors; nothing is sorted for it.
+Documents are read once for the models and once for
 their levels; texts are not shuffled, but for the rated ones of the models.
 
 Cases: null, empty and short texts (under ``least`` words) have no row; a
@@ -35,6 +37,7 @@ from pairlake.llm.textnorm import WORD, fold, plain
 GRADES = 4
 SMOOTH = 0.1
 MAX_RATED = 50_000
+PASTED = 0.02
 SENTENCE = re.compile(r"(?<=[.!?。])\s+|\n+")
 #: Bounds of the formula between the grades; it grows by 4.71 a letter per word and 0.5 a word per sentence.
 FORMULA = (16.0, 22.0, 30.0)
@@ -64,7 +67,7 @@ class Models:
         self.logs = np.log(table / np.maximum(table.sum(axis=0), 1e-9)) if counts else np.zeros((0, GRADES))
 
     def posterior(self, parts: list[list[str]]) -> np.ndarray:
-        """Mean over sentences of the posterior of each grade."""
+        """The document's posterior of each grade."""
         ids = self.ids
         known = [[k for w in s if (k := ids.get(w)) is not None] for s in parts]
         known = [k for k in known if k]
@@ -72,8 +75,9 @@ class Models:
             return np.full(GRADES, 1 / GRADES)
         starts = np.cumsum([0, *[len(k) for k in known[:-1]]])
         total = np.add.reduceat(self.logs[[k for s in known for k in s]], starts, axis=0)
-        total = np.exp(total - total.max(axis=1, keepdims=True))
-        return (total / total.sum(axis=1, keepdims=True)).mean(axis=0)
+        whole = np.log((1 - PASTED) * np.exp(total - total.max(axis=1, keepdims=True)) + PASTED).sum(axis=0)
+        p = np.exp(whole - whole.max())
+        return p / p.sum()
 
     def level(self, text: str | None) -> int:
         return int(np.argmax(np.round(self.posterior(sentences(text)), 12))) + 1
@@ -101,16 +105,22 @@ def _slices(x: list, n: int = 20_000) -> Iterator[list]:
         yield x[k : k + n]
 
 
+def _bounded(rows: DataFrame, most: int) -> DataFrame:
+    """All rows (doc_id, ...) if they are at most ``most``, else about so many, by a hash of their id."""
+    n = rows.count()
+    return rows if n <= most else rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(most / n * (1 << 40)))
+
+
 def train(documents: DataFrame, ratings: DataFrame) -> Models:
     """Models from documents (doc_id, text) and ratings (doc_id, reading_level)."""
     ok = ratings.where(F.col("doc_id").isNotNull() & F.col("reading_level").between(1, GRADES))
     shares = ok.groupBy("doc_id").agg(*[(F.count_if(F.col("reading_level") == g) / F.count(F.lit(1))).alias(f"r{g}") for g in range(1, GRADES + 1)])
-    shares = shares.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_RATED)
+    shares = _bounded(shares, MAX_RATED)
     docs = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    # at most MAX_RATED short rows go to every task, and only their texts are shuffled, to count each document once
+    # about MAX_RATED short rows go to every task, and only their texts are shuffled, to count each document once
     rows = word_counts(docs.join(F.broadcast(shares), "doc_id").dropDuplicates(["doc_id"]).drop("doc_id")).collect()
     if not rows:
-        seeded = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_RATED)
+        seeded = _bounded(docs, MAX_RATED)
         grade = F.pandas_udf(lambda t: t.map(formula_grade), "int")
         own = seeded.withColumn("g", grade("text")).select("text", *[(F.col("g") == g).cast("double").alias(f"r{g}") for g in range(1, GRADES + 1)])
         rows = word_counts(own).collect()

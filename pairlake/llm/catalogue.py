@@ -165,22 +165,35 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return _plan(spark, sf).where("gap").select(F.col("population").alias("report_id"), F.col("category").alias("treatment_category"))
 
 
-def p6_sample(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs drawn for each report: labels mapped to their entry, calibrated on the labels that are there."""
+def _drawn(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(sample, calibrated cells): labels mapped to their entry, by category and the labels' source as second margin."""
     names = table(spark, sf, "canonical_term").where("kind = 'category'").select("term_id", F.col("name").alias("category"))
     mapped = _mapped(spark, sf).where("field = 'treatment_category' and term_id > 0").join(names, "term_id").select("label_id", "category")
-    labels = table(spark, sf, "treatment_label").select(F.col("id").alias("label_id"), "pair_id").distinct().join(mapped, "label_id").groupBy("pair_id").agg(F.min("category").alias("category"))
+    labels = table(spark, sf, "treatment_label").select(F.col("id").alias("label_id"), "pair_id", "source").distinct().join(mapped, "label_id").groupBy("pair_id").agg(F.min(F.struct("category", F.col("source").alias("stratum"))).alias("m")).select("pair_id", "m.*")
     # a report's range of pairs is cut into blocks, so that labels find it by an equal key
     width = 512
     ranges = table(spark, sf, "balance_report").groupBy("report_id").agg(F.max("first_pair_id").alias("lo"), F.max("last_pair_id").alias("hi"))
     ranges = ranges.withColumn("b", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
     inside = labels.withColumn("b", F.floor(F.col("pair_id") / width)).join(ranges, "b").where("pair_id between lo and hi")
-    records = cut(inside.select(F.col("report_id").alias("population"), "category", F.col("pair_id").alias("record_id")))
-    counts = records.groupBy("population", "category").agg(F.count_distinct("record_id").alias("available"))
-    drawn = calibrated_sample.draw(records, calibrated_sample.plan(counts, _targets(spark, sf), SAMPLE))
+    records = cut(inside.select(F.col("report_id").alias("population"), "category", "stratum", F.col("pair_id").alias("record_id")))
+    cells = cut(calibrated_sample.calibrated(records.groupBy("population", "category", "stratum").agg(F.count_distinct("record_id").alias("available")), _targets(spark, sf), SAMPLE))
+    return calibrated_sample.draw(records, cells), cells
+
+
+def p6_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs drawn for each report."""
+    drawn, _ = _drawn(spark, sf)
     return drawn.select(F.col("population").alias("report_id"), F.col("category").alias("treatment_category"), F.col("record_id").alias("pair_id"))
 
 
+def p6_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What was required, aimed at and drawn per report and category."""
+    drawn, cells = _drawn(spark, sf)
+    aimed = cells.groupBy("population", "category").agg(F.sum("available").alias("available"), F.max("required").alias("required"), F.round(F.max("goal"), 6).alias("goal"), F.max("gap").alias("gap"))
+    got = drawn.groupBy("population", "category").agg(F.count(F.lit(1)).alias("n_drawn"))
+    return aimed.join(got, ["population", "category"], "left").select(F.col("population").alias("report_id"), F.col("category").alias("treatment_category"), "available", "required", "goal", F.coalesce("n_drawn", F.lit(0)).alias("n_drawn"), "gap")
+
+
 # --- 7: percentiles
 
 
@@ -261,7 +274,7 @@ def p10_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_nested_caps, p2_found, p2_splits, p3_found, p3_near, p3_batches, p4_found, p4_unmatched, p4_within, p5_found, p5_cutoffs, p6_found, p6_sample,
+        p1_found, p1_nested_caps, p2_found, p2_splits, p3_found, p3_near, p3_batches, p4_found, p4_unmatched, p4_within, p5_found, p5_cutoffs, p6_found, p6_sample, p6_report,
         p7_percentiles, p7_counts, p8_packing, p8_fill, p9_found, p9_leaks, p10_found, p10_profile,
     ]
     return {f.__name__: f for f in own}

@@ -134,6 +134,41 @@ def test_plan_and_draw(spark, monkeypatch):
     assert cal.draw(records.limit(0), plan).count() == 0 and cal.plan(counts.limit(0), targets, 100).count() == 0
 
 
+def test_joint_calibration_holds_size_and_both_margins(spark, monkeypatch):
+    r = random.Random(3)
+    targets = spark.createDataFrame([("a", 500, 5), ("b", 490, 5), ("c", 10, 5), ("d", 0, 0)], "category string, permille int, floor int")
+    rows = [(pop, c, r.choices(["x", "y", None], [6, 3, 1])[0], pop * 10_000 + k) for pop, sizes in ((1, {"a": 300, "b": 30, "c": 40}), (2, {"a": 900, "b": 700, "c": 80, "d": 9, "z": 50}), (3, {"a": 20})) for c, n in sizes.items() for k, _ in enumerate(range(n), 1000 * ord(c[0]))]
+    records = spark.createDataFrame(rows, "population long, category string, stratum string, record_id long")
+    cells = cut(cal.calibrated(records.groupBy("population", "category", "stratum").agg(F.count(F.lit(1)).alias("available")), targets, 100))
+    got = cells.collect()
+    goal = {(x.population, x.category): x.goal for x in got}
+    assert [round(goal[1, c], 6) for c in "abcd"] == [65, 30, 5, 0] and [round(goal[3, c], 6) for c in "abcd"] == [20, 0, 0, 0]
+    assert {(x.population, x.category) for x in got if x.gap} == {(1, "b"), (3, "a"), (3, "b"), (3, "c")}
+    for (pop, c), g in goal.items():
+        assert sum(x.available * x.probability for x in got if (x.population, x.category) == (pop, c)) == pytest.approx(g, abs=1e-6)
+    second = [x for x in got if x.population == 2]
+    n = sum(x.available for x in second)
+    for s in ("x", "y", ""):
+        own = [x for x in second if x.stratum == s]
+        assert sum(x.available * x.probability for x in own) == pytest.approx(100 * sum(x.available for x in own) / n, abs=0.5)
+    for block in (5000, 61):
+        monkeypatch.setattr(cal, "BLOCK", block)
+        drawn = cal.draw(records.unionByName(records.limit(9)), cells).collect()
+        count = Counter((x.population, x.category) for x in drawn)
+        assert [sum(v for k, v in count.items() if k[0] == pop) for pop in (1, 2, 3)] == [100, 100, 20]
+        assert all(abs(count[k] - g) <= 1 for k, g in goal.items()) and len({x.record_id for x in drawn}) == len(drawn)
+    assert cal.calibrated(cells.limit(0), targets, 100).count() == 0
+
+
+def test_every_position_of_a_block_keeps_its_probability(spark, monkeypatch):
+    monkeypatch.setattr(cal, "BLOCK", 3)
+    one = [("p", "a", k) for k in range(11)]
+    records = spark.createDataFrame([(s, c, k + 100 * s) for s in range(600) for _, c, k in one], "population long, category string, record_id long")
+    planned = records.select("population").distinct().withColumns({"category": F.lit("a"), "available": F.lit(11), "probability": F.lit(0.37)})
+    hits = Counter(x.record_id % 100 for x in cal.draw(records, planned).collect())
+    assert all(abs(hits[k] / 600 - 0.37) < 0.08 for k in range(11)) and abs(sum(hits.values()) / 6600 - 0.37) < 0.005
+
+
 def test_pivotal_method_keeps_probabilities():
     r, hits = random.Random(0), Counter()
     p = [0.2, 0.5, 0.9, 0.4, 0.0, 1.0, 0.3, 0.7]

@@ -61,6 +61,25 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return entity_split.conflicts(rooted, "in_training_set")
 
 
+def p2_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of cases by their smallest pair: number of pairs, of those with each flag, and whether the flag divides them."""
+    rooted, _ = entity_split.components(cut(_linked_pairs(spark, sf)), ["in_training_set"])
+    yes, no = F.count_if("in_training_set"), F.count_if(~F.col("in_training_set"))
+    own = rooted.groupBy("root").agg(F.min("record_id").alias("class_id"), F.count(F.lit(1)).alias("n_pairs"), yes.alias("n_true"), no.alias("n_false"))
+    return own.select("class_id", "n_pairs", "n_true", "n_false", ((F.col("n_true") > 0) & (F.col("n_false") > 0)).alias("divided"))
+
+
+def p2_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs, groups and shares that each split got, its largest group, and the number of groups larger than the split's part."""
+    splits = p2_splits(spark, sf)
+    groups = splits.groupBy("split", "case_group").agg(F.count(F.lit(1)).alias("n"))
+    parts = spark.createDataFrame(PROPORTIONS, "split string, permille int")
+    total = groups.agg(F.sum("n").alias("total"))
+    own = groups.join(F.broadcast(parts), "split").join(F.broadcast(total), F.lit(True))
+    # a group that is larger than a split's part can't be in it without breaking its proportion
+    return own.groupBy("split", "permille").agg(F.sum("n").alias("n_pairs"), F.count(F.lit(1)).alias("n_groups"), F.round(1000 * F.sum("n") / F.max("total"), 1).alias("got_permille"), F.max("n").alias("largest"), F.count_if(F.col("n") * 1000 > F.col("permille") * F.col("total")).alias("n_too_large"))
+
+
 def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
     rooted, _ = entity_split.components(cut(_linked_pairs(spark, sf)))
     rooted = cut(rooted.select("record_id", "root"))
@@ -228,15 +247,29 @@ def p7_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 # --- 8: packing
 
 
+def _sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return cut(packing.token_counts(table(spark, sf, "documents"), spark.conf.get("pairlake.tokenizer", packing.TOKENIZER)))
+
+
 def p8_packing(spark: SparkSession, sf: str) -> DataFrame:
-    sizes = cut(packing.token_counts(table(spark, sf, "documents")))
-    return packing.pack(sizes)
+    return packing.pack(_sizes(spark, sf))
 
 
 def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
-    """Number of containers and the share of their room that is used."""
+    """Number of containers, the least number that could hold the tokens, and the share of their room that is used."""
     own = p8_packing(spark, sf).groupBy("container").agg(F.sum("size").alias("used"))
-    return own.agg(F.count(F.lit(1)).alias("n_containers"), F.sum("used").alias("n_tokens"), F.round(F.sum("used") / (F.count(F.lit(1)) * packing.CAPACITY), 4).alias("fill"))
+    n, used = F.count(F.lit(1)), F.sum("used")
+    return own.agg(n.alias("n_containers"), used.alias("n_tokens"), F.ceil(used / packing.CAPACITY).alias("n_least"), F.round(used / (n * packing.CAPACITY), 4).alias("fill"))
+
+
+def p8_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document whether its pieces are all its tokens, each once, undivided if they fit, in containers that aren't overfull."""
+    sizes = _sizes(spark, sf)
+    packed = cut(packing.pack(sizes))
+    full = packed.groupBy("container").agg(F.sum("size").alias("used"))
+    ends = packed.join(full, "container").groupBy("doc_id").agg(F.sum("size").alias("got"), F.max(F.col("start") + F.col("size")).alias("end"), F.count(F.lit(1)).alias("pieces"), F.max("used").alias("used"))
+    whole = (F.col("got") == F.col("n_tokens")) & (F.col("end") == F.col("n_tokens")) & (F.col("pieces") == F.ceil(F.col("n_tokens") / packing.CAPACITY))
+    return sizes.select("doc_id", "n_tokens").join(ends, "doc_id", "left").select("doc_id", F.coalesce(whole, F.lit(False)).alias("whole"), F.coalesce(F.col("used") <= packing.CAPACITY, F.lit(False)).alias("fits"))
 
 
 # --- 9: leaked evaluation texts
@@ -274,8 +307,8 @@ def p10_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        p1_found, p1_nested_caps, p2_found, p2_splits, p3_found, p3_near, p3_batches, p4_found, p4_unmatched, p4_within, p5_found, p5_cutoffs, p6_found, p6_sample, p6_report,
-        p7_percentiles, p7_counts, p8_packing, p8_fill, p9_found, p9_leaks, p10_found, p10_profile,
+        p1_found, p1_nested_caps, p2_found, p2_groups, p2_splits, p2_report, p3_found, p3_near, p3_batches, p4_found, p4_unmatched, p4_within, p5_found, p5_cutoffs, p6_found, p6_sample, p6_report,
+        p7_percentiles, p7_counts, p8_packing, p8_fill, p8_checked, p9_found, p9_leaks, p10_found, p10_profile,
     ]
     return {f.__name__: f for f in own}
 

@@ -6,16 +6,14 @@ level, up to its cap, among what the inner passes kept; on nested groups that
 greedy choice has the largest total score.
 
 A pass never ranks all records of a contributor in one task. Order is
-``score`` descending (records without a usable score last), then id. Per
-contributor the records are counted by score band, a ranked window over the at
-most ``BANDS + 2`` bands finds the band in which the cap is reached, and the
-same is repeated inside that band for the exact scores, inside that score for
-blocks of ids, and inside that block for ids. What comes out is one cutoff
-(score, id) per contributor that exceeds its cap; records are compared with it.
-All counts are partially aggregated, so a contributor with a third of all rows
-costs no more than others. Contributors above a cap that is a share 1/k of all
-records are fewer than k, so their cutoffs are broadcast; with other caps the
-join is left to the planner.
+``score`` descending (records without a usable score last), then id. Caps up to
+``SMALL`` are a ranked window whose limit is applied before the shuffle, so a
+contributor sends at most its cap from each task. For larger caps the cutoff (score,
+id) of every contributor above its cap is selected by counts in bins
+(``selection.kth``, first among scores, then among the ids of the score at the
+cutoff), and records are compared with it. All counts are partially aggregated, so a
+contributor with a third of all records costs no more than others. Tables of one row
+per capped contributor are sent to all tasks where their number is checked to be small.
 
 Cases: null contributors are groups of their own kind and never capped; null,
 NaN and out-of-range scores come last; ties go to the smaller id; a record
@@ -30,45 +28,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairlake.llm.pictures import usable
-from pairlake.runtime import cut
+from pairlake.llm.selection import joined, kth
+from pairlake.runtime import bounded, cut
 
-BANDS = 4096
-ID_BITS = 16
+SMALL = 100
 
 
-def _boundary(inside: DataFrame, group: list[str], key: str) -> DataFrame:
-    """Per group the first key at which the running count reaches ``left``, and what is left inside it."""
-    counts = inside.groupBy(*group, "left", key).agg(F.count(F.lit(1)).alias("n"))
-    ranked = counts.withColumn("upto", F.sum("n").over(Window.partitionBy(*group).orderBy(key)))
-    hit = ranked.where((F.col("upto") >= F.col("left")) & (F.col("upto") - F.col("n") < F.col("left")))
-    return hit.select(*group, F.col(key).alias(f"{key}_"), (F.col("left") - F.col("upto") + F.col("n")).alias("left"))
+def cutoffs(rows: DataFrame, group: list[str], cap: int) -> DataFrame:
+    """(group, rank_, id_) of the last record that each group above ``cap`` keeps; rows: group, rank, id."""
+    over = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("lo_"), F.max("rank").alias("hi_")).where(F.col("n") > cap)
+    scores = cut(kth(rows, over.withColumn("left", F.lit(cap).cast("long")), group, "rank"))
+    at = joined(rows, scores.select(*group, "rank_", "left"), group).where(F.col("rank") == F.col("rank_")).select(*group, "id", "left")
+    ids = at.groupBy(*group, "left").agg(F.min("id").alias("lo_"), F.max("id").alias("hi_"))
+    last = kth(at.drop("left"), ids, group, "id").select(*group, "id_")
+    return cut(scores.select(*group, "rank_").join(last, group))
 
 
-def cutoffs(rows: DataFrame, group: list[str], cap: int, few: bool) -> DataFrame:
-    """(group, rank_, id_) of the last record that each group above ``cap`` keeps; rows: group, rank, id.
-
-    ``few``: the groups above the cap are known to be few, their table may be broadcast.
-    """
-    small = F.broadcast if few else (lambda x: x)
-    over = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap).select(*group, F.lit(cap).cast("long").alias("left"))
-    keyed = rows.withColumn("band", F.floor((F.col("rank") + 1) * BANDS)).withColumn("block", F.shiftright("id", ID_BITS))
-    inside = keyed.join(small(cut(over)), group)
-    for key in ("band", "rank", "block", "id"):
-        hit = cut(_boundary(inside, group, key))
-        inside = inside.drop("left").join(small(hit), group).where(F.col(key) == F.col(f"{key}_"))
-    return hit.select(*group, "id_").join(small(inside.select(*group, "rank_")), group)
-
-
-def cap_pass(rows: DataFrame, group: list[str], cap: int, share: bool) -> DataFrame:
+def cap_pass(rows: DataFrame, group: list[str], cap: int) -> DataFrame:
     """The rows (group columns, rank, id) within the cap of their group."""
+    null = " or ".join(f"`{g}` is null" for g in group)
     if cap < 1:
-        return rows.where(" or ".join(f"`{g}` is null" for g in group))
-    known = rows
-    for g in group:
-        known = known.where(F.col(g).isNotNull())
-    last = cutoffs(known, group, cap, share)
-    joined = rows.join(F.broadcast(last) if share else last, group, "left")
-    return joined.where(F.col("rank_").isNull() | (F.col("rank") < F.col("rank_")) | ((F.col("rank") == F.col("rank_")) & (F.col("id") <= F.col("id_")))).select(*rows.columns)
+        return rows.where(null)
+    known = rows.where(f"not ({null})")
+    if cap <= SMALL:
+        best = known.withColumn("rn_", F.row_number().over(Window.partitionBy(*group).orderBy("rank", "id"))).where(F.col("rn_") <= cap)
+        return best.select(*rows.columns).unionByName(rows.where(null))
+    last = cutoffs(known, group, cap)
+    out = rows.join(F.broadcast(last) if bounded(last) else last, group, "left")
+    return out.where(F.col("rank_").isNull() | (F.col("rank") < F.col("rank_")) | ((F.col("rank") == F.col("rank_")) & (F.col("id") <= F.col("id_")))).select(*rows.columns)
 
 
 def ranked_records(records: DataFrame, id_col: str, score: Column, levels: dict[str, Column]) -> DataFrame:
@@ -87,12 +74,13 @@ def nested_caps(rows: DataFrame, caps: list[tuple[str, int | float]], total: int
     those of all outer levels, so that groups are nested.
     """
     names = [f"level_{k}" for k, _ in caps]
+    share_of = lambda cap: isinstance(cap, float) and cap < 1
+    if total is None and any(share_of(c) for _, c in caps):
+        total = rows.count()
     for k, (_, cap) in enumerate(caps):
-        share = isinstance(cap, float) and cap < 1
-        if share and total is None:
-            total = rows.count()
+        share = share_of(cap)
         most = int(total * Fraction(cap).limit_denominator(1_000_000)) if share else int(cap)
-        rows = cap_pass(rows, names[k:], most, share)
+        rows = cap_pass(rows, names[k:], most)
         if k + 1 < len(caps):
             rows = cut(rows)
     return rows

@@ -11,8 +11,9 @@ task grows with the data, and a group's loss is at most its last containers.
 
 Cases: null and empty texts have no tokens and are in no container; very long
 texts are divided; items of equal size are packed in order of id; repeated ids
-are repeated items (each row is an item of its own if its text differs, rows
-wholly alike count once); an empty table gives no rows.
+are repeated items (each row is an item of its own if its text differs, also if
+both have as many tokens; rows wholly alike count once); a document without an id
+is an item like others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -44,22 +45,22 @@ def tokenizer(path: str):
 
 
 def token_counts(documents: DataFrame, path: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens) of documents with at least one token."""
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text <> ''")
+    """(doc_id, n_tokens, h) of documents with at least one token; h tells texts apart."""
+    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h")).where("text <> ''")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = tokenizer(path).encode_ordinary
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [len(encode(t)) for t in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n_tokens": [len(encode(t)) for t in pdf["text"]], "h": pdf["h"]})
 
-    return docs.mapInPandas(run, "doc_id long, n_tokens long").where("n_tokens > 0")
+    return docs.mapInPandas(run, "doc_id long, n_tokens long, h long").where("n_tokens > 0")
 
 
 def pieces(sizes: DataFrame, capacity: int) -> DataFrame:
     """(doc_id, part, start, size): documents divided into pieces of at most the capacity."""
     parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_tokens") - 1) / capacity))
     return sizes.withColumn("part", F.explode(parts)).select(
-        "doc_id", "part", (F.col("part") * capacity).alias("start"), F.least(F.lit(capacity).cast("long"), F.col("n_tokens") - F.col("part") * capacity).alias("size")
+        "doc_id", "h", "part", (F.col("part") * capacity).alias("start"), F.least(F.lit(capacity).cast("long"), F.col("n_tokens") - F.col("part") * capacity).alias("size")
     )
 
 
@@ -96,20 +97,21 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
 
 
 def pack(sizes: DataFrame, capacity: int = CAPACITY, group: int = GROUP, seed: str = "42") -> DataFrame:
-    """(container, doc_id, part, start, size) of documents (doc_id, n_tokens).
+    """(container, doc_id, part, start, size) of documents (doc_id, n_tokens), with ``h`` where texts of one id are told apart.
 
     ``container`` is unique over all groups. Full pieces are containers of their own.
     """
     if capacity < 1:
         raise ValueError("the capacity must be at least 1")
-    items = pieces(sizes.select("doc_id", "n_tokens").distinct(), capacity)
+    own = sizes.select("doc_id", "n_tokens", F.col("h") if dict(sizes.dtypes).get("h") == "bigint" else F.lit(0).cast("long").alias("h"))
+    items = pieces(own.distinct(), capacity)
     n = items.count()
     groups = max(1, -(-n // group))
     dealt = items.withColumn("g", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "part"), F.lit(groups)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "doc_id", "part"], ascending=[False, True, True])
+        pdf = pdf.sort_values(["size", "doc_id", "part", "h"], ascending=[False, True, True, True])
         at = first_fit_decreasing(pdf["size"].tolist(), capacity)
-        return pdf.assign(container=[f"{g}-{k}" for g, k in zip(pdf["g"], at)])[["container", "doc_id", "part", "start", "size"]]
+        return pdf.assign(container=[f"{g}-{k}" for g, k in zip(pdf["g"], at)], doc_id=pdf["doc_id"].astype("Int64"))[["container", "doc_id", "part", "start", "size"]]
 
     return dealt.groupBy("g").applyInPandas(run, "container string, doc_id long, part long, start long, size long")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Values fall into this many ranges per power of two.
-RANGES = 16
+RANGES = 256
 
 
 def finite(value: Column) -> Column:

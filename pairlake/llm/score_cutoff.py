@@ -3,12 +3,12 @@
 A quantile sketch per source (rank error at most 1/``ACCURACY`` of the source's
 records, guaranteed) gives two values between which the cutoff must lie. One
 aggregation counts the records above the bracket, and only records inside it
-are grouped by value and ranked; the cutoff is exact. If a bracket should not
+are ordered, by counts in bins that are narrowed until one score is left
+(``selection.kth``); the cutoff is exact. If a bracket should not
 hold the cutoff, its source is selected from all its values instead.
 
 Sketches and counts are partially aggregated, so a source with a third of all
-records is no single task; the ranked window runs over the distinct values
-inside a bracket, about 4/``ACCURACY`` of a source.
+records is no single task, however its scores are distributed.
 
 Cases: null, NaN and out-of-range scores and records without a source don't
 count; ties at the cutoff are all kept, so the kept share may exceed the
@@ -19,9 +19,10 @@ one source the largest holds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairlake.llm.selection import kth
 from pairlake.runtime import cut
 
 ACCURACY = 2000
@@ -30,7 +31,7 @@ ACCURACY = 2000
 def cutoffs(records: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, keep_percent, n, need, cutoff, kept) of records (source, score) and targets (source, keep_percent).
 
-    ``records`` is read three times; give it cut.
+    ``records`` is read several times; give it cut.
     """
     own = records.where("source is not null and score is not null").select("source", "score")
     targets = targets.where("source is not null and keep_percent is not null").groupBy("source").agg(F.max("keep_percent").alias("keep_percent"))
@@ -56,10 +57,13 @@ def cutoffs(records: DataFrame, targets: DataFrame) -> DataFrame:
             F.when(holds, F.col("low")).otherwise(F.lit(float("-inf"))).alias("low"), F.when(holds, F.col("high")).otherwise(F.lit(float("inf"))).alias("high"),
         )
     )
-    inside = own.join(checked, "source").where((F.col("score") >= F.col("low")) & (F.col("score") <= F.col("high")))
-    values = inside.groupBy("source", "keep_percent", "n", "need", "above", "score").agg(F.count(F.lit(1)).alias("c"))
-    ranked = values.withColumn("kept", F.col("above") + F.sum("c").over(Window.partitionBy("source").orderBy(F.desc("score"))))
-    return ranked.where((F.col("kept") >= F.col("need")) & (F.col("kept") - F.col("c") < F.col("need"))).select("source", "keep_percent", "n", "need", F.col("score").alias("cutoff"), "kept")
+    # the largest scores come first: the smallest of their negatives
+    inside = own.join(checked.select("source", "low", "high"), "source").where((F.col("score") >= F.col("low")) & (F.col("score") <= F.col("high"))).select("source", (F.lit(0.0) - F.col("score")).alias("down"))
+    ends = inside.groupBy("source").agg(F.min("down").alias("lo_"), F.max("down").alias("hi_"))
+    ranks = ends.join(checked.select("source", (F.col("need") - F.col("above")).alias("left")), "source")
+    found = kth(inside, ranks, ["source"], "down")
+    kept = F.col("need") - F.col("left") + F.col("equal")
+    return checked.join(found, "source").select("source", "keep_percent", "n", "need", (F.lit(0.0) - F.col("down_")).alias("cutoff"), kept.alias("kept"))
 
 
 def tidy(name):

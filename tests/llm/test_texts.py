@@ -186,3 +186,9 @@ def test_a_long_quotation_does_not_decide():
     models = reading_level.Models({w: [9.0, 0, 0, 0] for s in EASY for w in words(s)} | {w: [0, 0, 0, 9.0] for s in HARD for w in words(s)})
     assert models.level(" ".join(EASY * 3) + " " + HARD[0]) == 1
     assert models.level(None) == 1
+
+
+def test_texts_of_one_id_and_without_id_are_items(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (1, "two three one"), (1, "one two three"), (None, "four"), (2, "")], "doc_id long, text string").withColumn("n_tokens", F.lit("x"))
+    out = packing.pack(packing.token_counts(docs), 100).collect()
+    assert sorted((x.doc_id or 0) for x in out) == [0, 1, 1] and len({x.container for x in out}) == 1

@@ -202,3 +202,19 @@ def test_percentiles_exact_merged_and_bounded(spark):
         assert abs(x.value - brute(own, x.p)) <= 0.25 + 1e-3
     assert perc.percentiles(whole.limit(0), ["k"], points).count() == 0
     assert perc.percentiles(perc.value_counts(df, [], "v"), [], [0.5]).count() == 1
+
+
+def test_kth_of_any_keys(spark):
+    from pairlake.llm import selection
+
+    r = random.Random(12)
+    shapes = {"same": lambda: 0.5, "wide": lambda: r.choice([-1e300, 1e300, 0.0, 1e-300]), "near": lambda: 1 + r.random() * 1e-15, "even": r.random, "skew": lambda: r.random() ** 40}
+    rows = [(g, float(f()), r.choice([-(2**62), 2**62, 0, r.randint(-9, 9), r.randint(10**17, 10**17 + 9)])) for g, f in shapes.items() for _ in range(200)]
+    df = cut(spark.createDataFrame(rows, "g string, x double, i long"))
+    for key, at in (("x", 1), ("i", 2)):
+        ends = df.groupBy("g").agg(F.min(key).alias("lo_"), F.max(key).alias("hi_"))
+        for k in (1, 77, 200, 201):
+            got = {v.g: (v[f"{key}_"], v.left, v.equal) for v in selection.kth(df, ends.withColumn("left", F.lit(k).cast("long")), ["g"], key).collect()}
+            for g in shapes:
+                own = sorted(v[at] for v in rows if v[0] == g)
+                assert got.get(g) == ((own[k - 1], k - sum(v < own[k - 1] for v in own), own.count(own[k - 1])) if k <= 200 else None)

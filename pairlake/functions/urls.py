@@ -79,6 +79,25 @@ def url_label(url: Column) -> Column:
     return F.coalesce(community, F.element_at(F.transform(F.transform(F.array(path(low)), inside), label), 1))
 
 
+def exact_label(url: Column) -> Column:
+    """Category by community, else by the first part of the address that is a slug as a whole."""
+    low = F.lower(url)
+    community = table_lookup(COMMUNITIES, F.regexp_extract(low, r"/r/([^/?#]+)", 1))
+    parts = F.transform(F.split(F.rtrim(low, F.lit("/")), "/"), lambda x: F.substring_index(x, "?", 1))
+    return F.coalesce(community, table_lookup(SLUGS, F.try_element_at(F.filter(parts, lambda x: x.isin(*SLUGS)), F.lit(1))))
+
+
+def titled_label(url: Column, *texts: Column) -> Column:
+    """Category by a whole path part, else by the first slug, in their fixed order, whose words are in a text; texts are tried in order."""
+    whole = F.filter(F.split(F.btrim(path(url), F.lit("/")), "/"), lambda x: x.isin(*SLUGS))
+    slugs = F.array(*[F.lit(s) for s in SLUGS])
+    found = [table_lookup(SLUGS, F.try_element_at(whole, F.lit(1)))]
+    for t in texts:
+        low = F.lower(F.coalesce(t, F.lit("")))
+        found.append(table_lookup(SLUGS, F.try_element_at(F.filter(slugs, lambda s, low=low: F.contains(low, F.replace(s, F.lit("-"), F.lit(" ")))), F.lit(1))))
+    return F.coalesce(*found)
+
+
 EXTENSIONS = [".jpg", ".jpeg", ".png", ".webp", ".gif"]
 
 

@@ -86,3 +86,36 @@ def is_listing(n_links: Column, n_figures: Column) -> Column:
 def pages_of(base: Column, pages: int, pattern: str = "?page=") -> Column:
     """Array of a listing's page addresses, from 1."""
     return F.transform(F.sequence(F.lit(1), F.lit(pages)), lambda k: F.concat(base, F.lit(pattern), k.cast("string")))
+
+
+def drained(queue: DataFrame, pushed: DataFrame, visited: DataFrame) -> DataFrame:
+    """(url, turn): the first queue, then what was pushed to the second one meanwhile, each address once and none that was visited."""
+    every = queue.select("url", F.lit(0).alias("turn")).unionByName(pushed.select("url", F.lit(1).alias("turn")))
+    return every.where("coalesce(url, '') <> ''").groupBy("url").agg(F.min("turn").alias("turn")).join(visited.select("url"), "url", "left_anti")
+
+
+def cursor_pages(listings: DataFrame, base: Column, depth: int = 5) -> DataFrame:
+    """(listing, depth, url): pages reached by following each page's ``after`` token, the first without one, at most ``depth``.
+
+    listings (listing, cursor, after): the token that asks for a page (null for the first) and the one it gives for the next.
+    """
+    rows = listings.select("listing", "cursor", "after")
+    here = rows.where("cursor is null").select("listing", F.lit(1).alias("depth"), "cursor", "after")
+    found = here
+    for d in range(2, depth + 1):
+        last = here.where("after is not null").select("listing", F.col("after").alias("cursor"))
+        here = rows.join(last, ["listing", "cursor"]).select("listing", F.lit(d).alias("depth"), "cursor", "after")
+        found = found.unionByName(here)
+    return found.select("listing", "depth", F.when(F.col("cursor").isNull(), base).otherwise(F.concat(base, F.lit("?after="), F.col("cursor"))).alias("url"))
+
+
+def search_hits(links: DataFrame, by: list[str], order: list[str], pattern: str, most: int, href: str = "href") -> DataFrame:
+    """(by, n, href): the first ``most`` different links of a result page whose address matches, numbered in order."""
+    once = links.where(F.col(href).rlike(pattern)).groupBy(*by, href).agg(F.min(F.struct(*order)).alias("o_"))
+    return once.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("o_", href))).where(F.col("n") <= most).select(*by, "n", href)
+
+
+def run_by_source(results: DataFrame, source: str = "source") -> DataFrame:
+    """(source, n_inserted, n_skipped, n_errors, failed) of page results (source, inserted, skipped, error): a source whose pages all failed is failed, others go on."""
+    bad = F.col("error").isNotNull()
+    return results.groupBy(source).agg(F.sum(F.when(~bad, F.col("inserted")).otherwise(0)).alias("n_inserted"), F.sum(F.when(~bad, F.col("skipped")).otherwise(0)).alias("n_skipped"), F.count_if(bad).alias("n_errors"), F.every(bad).alias("failed"))

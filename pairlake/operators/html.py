@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairlake.functions.texts import mentions
+from pairlake.functions.urls import path
 from pairlake.functions.vocabulary import AFTER_WORDS, BEFORE_WORDS
 from pairlake.operators import pairing
 from pairlake.runtime import written
@@ -208,6 +209,77 @@ def candidate_pairs(pages: DataFrame, page_id: str = "page_id", html: str = "htm
     return pairing.first_strategy(every.withColumn("tried_", tried), [page_id], "tried_").drop("tried_")
 
 
+def figure_pairs(pics: DataFrame, either: bool = False, page_id: str = "page_id") -> DataFrame:
+    """(page_id, n, before, after): first two pictures of figures whose caption speaks of before and after, or with ``either`` of one of them."""
+    b, a = mentions(F.col("caption"), BEFORE_WORDS), mentions(F.col("caption"), AFTER_WORDS)
+    figures = pics.where((F.col("around") == "figure") & ((b | a) if either else (b & a)))
+    return pairing.first_two(figures, [page_id, "parent"], ["pos"], "src").withColumn("n", F.row_number().over(Window.partitionBy(page_id).orderBy("parent"))).select(page_id, "n", "before", "after")
+
+
+def picture_of(els: DataFrame, wanted: DataFrame, url: str = "url", page_id: str = "page_id") -> DataFrame:
+    """(wanted columns, pos): the first picture of the page whose source holds the address, or the file name at its end; null where there is none."""
+    src = F.coalesce(F.nullif(attribute("src"), F.lit("")), attribute("data-src"), F.lit(""))
+    pics = els.where("tag = 'img'").select(F.col(page_id).alias("page_"), "pos", src.alias("src_"))
+    name = F.substring_index(path(F.col(url)), "/", -1)
+    hit = F.contains("src_", F.col(url)) | ((name != "") & F.contains("src_", name))
+    found = wanted.join(pics, (F.col(page_id) == F.col("page_")) & hit, "left")
+    return found.groupBy(*wanted.columns).agg(F.min("pos").alias("pos"))
+
+
+def signals(els: DataFrame, wanted: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """(page_id, url, side, strong, weak) of wanted pictures (page_id, url, side): which signs speak for their side.
+
+    ``strong`` holds the kinds of sign in fixed order: filename, data_attr, alt_text, css_class, parent_attr (up to
+    six elements around), caption; ``weak`` says whether the picture is in its side's place of two.
+    """
+    pics = images(els, page_id).select(page_id, "pos", "parent", "alt", "class", "attrs", "around", "caption")
+    found = picture_of(els, wanted, page_id=page_id).join(pics, [page_id, "pos"], "left")
+    # the elements around a picture are those that begin before it and end after it
+    open_ = els.where("tag <> 'img'").select(page_id, F.col("pos").alias("o_pos"), "last", F.col("attrs").alias("o_attrs"), F.col("depth").alias("o_depth"))
+    at = els.select(page_id, "pos", "depth")
+    up = found.where("pos is not null").select(page_id, "url", "side", "pos").join(at, [page_id, "pos"]).join(open_, page_id).where("o_pos < pos and pos <= last and o_depth >= depth - 6")
+    said = lambda text: F.when(F.col("side") == "before", mentions(text, BEFORE_WORDS)).otherwise(mentions(text, AFTER_WORDS))
+    values = lambda m: F.array_join(F.concat(F.map_keys(m), F.map_values(m)), " ")
+    around = up.groupBy(page_id, "url", "side").agg(F.max(said(F.array_join(F.map_values("o_attrs"), " "))).alias("parent_attr"))
+    same = els.where("tag = 'img'").select(page_id, F.col("pos").alias("i_pos"), "parent")
+    place = found.where("pos is not null").select(page_id, "url", "side", "pos", "parent").join(same, [page_id, "parent"]).groupBy(page_id, "url", "side").agg((F.count(F.lit(1)) == 2).alias("two"), (F.min("i_pos") == F.max("pos")).alias("first"))
+    rows = found.join(around, [page_id, "url", "side"], "left").join(place, [page_id, "url", "side"], "left")
+    there, no = F.col("pos").isNotNull(), F.lit(False)
+    kinds = {
+        "filename": said(path(F.col("url"))), "data_attr": there & said(values(F.coalesce("attrs", F.create_map().cast("map<string,string>")))), "alt_text": there & said(F.col("alt")),
+        "css_class": there & said(F.col("class")), "parent_attr": F.coalesce("parent_attr", no), "caption": there & said(F.col("caption")),
+    }
+    strong = F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in kinds.items()]), lambda x: x.isNotNull())
+    weak = F.coalesce(F.col("two") & F.when(F.col("side") == "before", F.col("first")).otherwise(~F.col("first")), no)
+    return rows.select(page_id, "url", "side", strong.alias("strong"), weak.alias("weak"))
+
+
+def scored_pairs(found: DataFrame, by: list[str]) -> DataFrame:
+    """(by, score, explicit): the structural score of both sides of pairs, and whether each side has a strong sign (gate 1)."""
+    side = lambda s, c: F.max(F.when(F.col("side") == s, c))
+    strong = F.size("strong") > 0
+    out = found.groupBy(*by).agg(*[side(s, c).alias(f"{n}_{s}") for s in ("before", "after") for n, c in (("strong", strong), ("weak", F.col("weak")))])
+    no = F.lit(False)
+    out = out.withColumns({c: F.coalesce(c, no) for c in ("strong_before", "weak_before", "strong_after", "weak_after")})
+    score = structural_score(F.col("strong_before"), F.col("weak_before"), F.col("strong_after"), F.col("weak_after"))
+    return out.select(*by, score.alias("score"), (F.col("strong_before") & F.col("strong_after")).alias("explicit"))
+
+
+def cards(els: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """(page_id, treatment_name, provider_name, date_posted): the first of each on a card."""
+    first = lambda c: F.min_by(c, F.when(c.isNotNull(), F.col("pos")))
+    date = F.when(F.col("tag") == "time", attribute("datetime"))
+    return els.groupBy(page_id).agg(first(attribute("data-treatment-name")).alias("treatment_name"), first(attribute("data-provider-name")).alias("provider_name"), first(date).alias("date_posted"))
+
+
+def dispatched(address: Column, keys: dict[str, str], default: str | None = None) -> Column:
+    """What is configured for the first key, in their order, that an address holds."""
+    out = F.lit(default).cast("string")
+    for k, v in reversed(list(keys.items())):
+        out = F.when(F.contains(address, F.lit(k)), F.lit(v)).otherwise(out)
+    return out
+
+
 LISTING = "data struct<after:string, children:array<struct<data:struct<title:string, permalink:string, is_gallery:boolean, media_metadata:map<string,struct<status:string, s:struct<u:string,gif:string>>>>>>>"
 
 

@@ -80,6 +80,19 @@ def sources(spark: SparkSession, path: str, include_disabled: bool = False) -> D
     return df if include_disabled else df.where("enabled")
 
 
+def registered(sources_: DataFrame, registry: list[str], include_disabled: bool = False) -> DataFrame:
+    """Configured sources in the order of the registry; names that aren't registered, or not configured, are left out."""
+    names = sources_.sparkSession.createDataFrame(list(enumerate(registry)), "place int, name string")
+    own = sources_ if include_disabled else sources_.where("enabled")
+    return own.join(F.broadcast(names), "name").orderBy("place")
+
+
+def with_cache(wanted: DataFrame, inventory: DataFrame, least: int = 1024) -> DataFrame:
+    """Adds ``from_cache`` to files (path, ...): whether the inventory (path, size) has it with at least ``least`` bytes."""
+    have = inventory.where(F.col("size") >= least).select("path").distinct().withColumn("from_cache", F.lit(True))
+    return wanted.join(have, "path", "left").withColumn("from_cache", F.coalesce("from_cache", F.lit(False)))
+
+
 def calibration_source(sources_: DataFrame) -> str:
     """Name of the first source that is marked for calibration; there must be one."""
     found = sources_.where("calibration_source").orderBy("ordinal").select("name").head()

@@ -91,11 +91,12 @@ def titled_label(url: Column, *texts: Column) -> Column:
     """Category by a whole path part, else by the first slug, in their fixed order, whose words are in a text; texts are tried in order."""
     whole = F.filter(F.split(F.btrim(path(url), F.lit("/")), "/"), lambda x: x.isin(*SLUGS))
     slugs = F.array(*[F.lit(s) for s in SLUGS])
-    found = [table_lookup(SLUGS, F.try_element_at(whole, F.lit(1)))]
-    for t in texts:
-        low = F.lower(F.coalesce(t, F.lit("")))
-        found.append(table_lookup(SLUGS, F.try_element_at(F.filter(slugs, lambda s, low=low: F.contains(low, F.replace(s, F.lit("-"), F.lit(" ")))), F.lit(1))))
-    return F.coalesce(*found)
+
+    def said(text: Column) -> Column:
+        low = F.lower(F.coalesce(text, F.lit("")))
+        return table_lookup(SLUGS, F.try_element_at(F.filter(slugs, lambda s: F.contains(low, F.replace(s, F.lit("-"), F.lit(" ")))), F.lit(1)))
+
+    return F.coalesce(table_lookup(SLUGS, F.try_element_at(whole, F.lit(1))), *map(said, texts))
 
 
 EXTENSIONS = [".jpg", ".jpeg", ".png", ".webp", ".gif"]

@@ -58,3 +58,8 @@ def metric_means(long: DataFrame, by: list[str]) -> DataFrame:
 def mean_of_batch_means(long: DataFrame, batch: str, by: list[str]) -> DataFrame:
     """(by, mean): batches count alike, whatever their size."""
     return metric_means(long, [*by, batch]).groupBy(*by).agg(F.avg("mean").alias("mean"))
+
+
+def with_fallback(rows: DataFrame, prediction: str, source: str) -> DataFrame:
+    """Rows whose prediction is missing take their input as it is."""
+    return rows.withColumn(prediction, F.coalesce(prediction, source))

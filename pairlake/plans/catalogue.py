@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pairlake.functions import geometry, texts, urls, vectors
 from pairlake.operators import calibration, evaluation, faces, frontier, html, pairing, relational
-from pairlake.plans import stores
+from pairlake.plans import pages, pictures, stores
 from pairlake.plans.sql import SQL
 from pairlake.runtime import BROADCAST_ROWS, cut, fresh_path, table
 from pairlake.sources import files, manifest
@@ -446,8 +446,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         frontier_bfs, seed_urls, query_seeds, download_admission, pair_downloads, manifest_json, instruction_prompts, treatment_zones, page_elements, page_pairs,
         stream_dedup, stream_batches,
     ]
-    return {f.__name__: f for f in [*own, *stores.QUERIES]}
+    return {f.__name__: f for f in [*own, *stores.QUERIES, *pages.QUERIES, *pictures.QUERIES]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return SQL | stores.SQL
+    return SQL | stores.SQL | pages.SQL | pictures.SQL

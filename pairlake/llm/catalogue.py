@@ -216,32 +216,36 @@ def p6_report(spark: SparkSession, sf: str) -> DataFrame:
 # --- 7: percentiles
 
 
-def _measures(spark: SparkSession, sf: str) -> DataFrame:
-    """(site, grade, day, measure, v): usable values; every score counts once, unreadable pictures don't."""
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    """(site, grade, day, measures): every score counts once, unreadable pictures don't; values that aren't usable are null."""
     scored = table(spark, sf, "quality_result").select("id", "image_id", "grade", F.to_date("scored_at").alias("day"), "width", "height", *GRID)
     own = scored.where("id is not null and not (coalesce(width, 1) = 0 or coalesce(height, 1) = 0)").drop("width", "height")
     image = with_site(table(spark, sf, "image").select(F.col("id").alias("image_id"), "domain", "source_url"), "domain", "source_url", "site").drop("domain", "source_url")
-    v = [F.when(percentiles.finite(F.col(m)) >= 0, percentiles.on_grid(percentiles.finite(F.col(m)), s)) for m, s in GRID.items()]
-    return (
-        own.join(image, "image_id", "left")
-        .dropDuplicates(["image_id", "id"])
-        .select("site", "grade", "day", F.explode(F.map_from_arrays(F.array(*[F.lit(m) for m in GRID]), F.array(*v))).alias("measure", "v"))
-        .where("v is not null")
-    )
+    v = [F.when(percentiles.finite(F.col(m)) >= 0, percentiles.on_grid(percentiles.finite(F.col(m)), s)).alias(m) for m, s in GRID.items()]
+    return own.join(image, "image_id", "left").dropDuplicates(["image_id", "id"]).select("site", "grade", "day", *v)
+
+
+def _long(scored: DataFrame, *columns) -> DataFrame:
+    """(columns, measure, v), usable values only."""
+    values = F.map_from_arrays(F.array(*[F.lit(m) for m in GRID]), F.array(*GRID))
+    return scored.select(*columns, F.explode(values).alias("measure", "v")).where("v is not null")
 
 
 def p7_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The counts that combine: of site, grade, day and measure."""
-    return percentiles.value_counts(_measures(spark, sf), ["site", "grade", "day", "measure"], "v")
+    return percentiles.value_counts(_long(_scored(spark, sf), "site", "grade", "day"), ["site", "grade", "day", "measure"], "v")
 
 
 def p7_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     """Percentiles by site, by grade and by day."""
-    keys = [F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in ("site", "grade", "day")]
-    each = _measures(spark, sf).withColumn("g", F.explode(F.array(*keys))).select("g.kind", "g.key", "measure", "v")
-    counts = written(percentiles.value_counts(each, ["kind", "key", "measure"], "v"), "counts")
-    out = percentiles.percentiles(counts, ["kind", "key", "measure"], POINTS)
-    return out.select("kind", F.col("key").alias("group_key"), "measure", "p", F.round("value", 4).alias("value"), "n")
+    scored = written(_scored(spark, sf), "scored")
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in ("site", "grade", "day")])
+    number = F.xxhash64("g.kind", F.col("g.key").isNull(), "g.key", "measure").alias("group_no")
+    # values are counted under the number of their group; what a number stands for is a short table of its own
+    names = scored.select(F.explode(kinds).alias("g")).distinct().select("g", F.explode(F.array(*[F.lit(m) for m in GRID])).alias("measure")).select(number, "g.kind", F.col("g.key").alias("group_key"), "measure")
+    each = _long(scored, kinds.alias("gs")).select(F.explode("gs").alias("g"), "measure", "v").select(number, "v")
+    out = percentiles.percentiles(written(percentiles.value_counts(each, ["group_no"], "v"), "counts"), ["group_no"], POINTS)
+    return out.join(names, "group_no").select("kind", "group_key", "measure", "p", F.round("value", 4).alias("value"), "n")
 
 
 # --- 8: packing

@@ -62,14 +62,17 @@ def _range(value: Column) -> Column:
 def percentiles(counts: DataFrame, groups: list[str], points: list[float]) -> DataFrame:
     """(groups, p, value, n) of counts (groups, value, n), which are read twice: give them written.
 
-    Values move with a 128-bit key of their group; the groups' own columns go with the few ranges that
-    hold a target rank.
+    Values move with a 128-bit key of their group, or the group itself where it is one whole number; the groups'
+    own columns go with the few ranges that hold a target rank.
     """
     own = [F.col(g).alias(f"own_{g}") for g in groups]
     flags = [c for g in groups for c in (F.col(g).isNull(), F.col(g))]
-    keys = [F.xxhash64(F.lit(s), *flags).alias(f"k{s}") for s in (1, 2)]
+    number = len(groups) == 1 and dict(counts.dtypes)[groups[0]] == "bigint"
+    keys = [F.coalesce(groups[0], F.lit(0).cast("long")).alias("k1"), F.col(groups[0]).isNull().alias("k2")] if number else [F.xxhash64(F.lit(s), *flags).alias(f"k{s}") for s in (1, 2)]
     keyed = counts.select(*own, *keys, _range(F.col("value")).alias("r"), "value", "n")
-    ranges = keyed.groupBy("k1", "k2", "r", *[f"own_{g}" for g in groups]).agg(F.sum("n").alias("c"))
+    ranges = keyed.groupBy("k1", "k2", "r", *([] if number else [f"own_{g}" for g in groups])).agg(F.sum("n").alias("c"))
+    if number:
+        ranges = ranges.withColumn(f"own_{groups[0]}", F.when(~F.col("k2"), F.col("k1")))
     group = Window.partitionBy("k1", "k2")
     offsets = ranges.withColumns({"upto": F.sum("c").over(group.orderBy("r")), "total": F.sum("c").over(group)})
     reached = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.greatest(F.lit(1.0), F.ceil(F.round(F.lit(float(p)) * F.col("total"), 6))).alias("rank")) for p in points])

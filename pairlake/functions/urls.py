@@ -72,6 +72,7 @@ def url_label(url: Column) -> Column:
         return F.struct(p.alias("p"), whole.alias("whole"), F.filter(longest, lambda s: F.contains(p, s)).alias("some"))
 
     def label(x: Column) -> Column:
+        # Fixed value: what bounds a slug in a path.
         bounded = F.filter(x["some"], lambda s: F.rlike(x["p"], F.concat(F.lit(r"(?:^|[/_-])"), s, F.lit(r"(?:[/_-]|$)"))))
         return F.coalesce(first(x["whole"]), first(bounded), first(x["some"]))
 

@@ -76,15 +76,16 @@ def _png(data: bytes) -> np.ndarray:
     for y in range(h):
         line = raw[y, 1:].astype(np.int64)
         f = raw[y, 0]
-        if f == 2:
+        if f == 1:
+            # each byte adds to the one a pixel before it: running sums per channel
+            line = np.cumsum(line.reshape(w, depth), axis=0).reshape(-1) % 256
+        elif f == 2:
             line = (line + above) % 256
         elif f:
             for x in range(len(line)):
                 left = line[x - depth] if x >= depth else 0
                 up, corner = above[x], above[x - depth] if x >= depth else 0
-                if f == 1:
-                    line[x] = (line[x] + left) % 256
-                elif f == 3:
+                if f == 3:
                     line[x] = (line[x] + (left + up) // 2) % 256
                 else:
                     p = left + up - corner

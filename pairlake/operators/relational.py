@@ -13,13 +13,12 @@ def training_set(pairs: DataFrame, images: DataFrame, labels: DataFrame, quarant
     """Pairs of two known images of which none is quarantined, with their label and sorted zone codes.
 
     Pairs whose ordering is LOW are left out unless ``low``; an unknown (null) ordering is left out
-    in the first case too. The quarantine's anti join comes first: nothing of it gets any further.
+    in the first case too. The quarantine is taken from the images once, so that pairs are joined twice only.
     """
     ok = pairs if low else pairs.where("ordering_confidence <> 'LOW'")
-    for side in ("before_image_id", "after_image_id"):
-        ok = ok.join(quarantine.select(F.col("image_id").alias(side)), side, "left_anti")
+    clean = images.select("id", "file_path").join(quarantine.select(F.col("image_id").alias("id")), "id", "left_anti")
     for side in ("before", "after"):
-        ok = ok.join(images.select(F.col("id").alias(f"{side}_image_id"), F.col("file_path").alias(f"{side}_path")), f"{side}_image_id")
+        ok = ok.join(clean.select(F.col("id").alias(f"{side}_image_id"), F.col("file_path").alias(f"{side}_path")), f"{side}_image_id")
     out = ok.join(labels.select(F.col("pair_id").alias("id"), "treatment_category", "treatment_brand"), "id", "left")
     cols = [F.col("id").alias("pair_id"), "before_path", "after_path", "treatment_category", "treatment_brand"]
     if zones is None:

@@ -37,9 +37,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_OWN: dict[str, str] = {}
+
+
+def own_folder(spark: SparkSession) -> str:
+    """This session's part of the shared folder; it is deleted when the driver ends, whatever tables were written to it."""
+    folder = shared_folder(spark)
+    key = f"{spark.sparkContext.applicationId} {folder}"
+    if key not in _OWN:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/pairlake-{uuid.uuid4().hex}")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _OWN[key] = path.toString()
+    return _OWN[key]
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path for a written table in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path for a written table in the shared folder, kept until the driver ends."""
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from pairlake.plans import catalogue
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -29,12 +30,12 @@ def duck():
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalogue.queries()))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = catalogue.queries()[name](spark, FOLDER)
     cols = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr)
-    sql = entry.oracle_sql().get(name)
+    sql = catalogue.oracle_sql().get(name)
     if sql:
         res = duck.execute(sql)
         have = [d[0] for d in res.description]

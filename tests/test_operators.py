@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pairlake.operators import calibration, evaluation, faces, frontier, html, pairing, relational
+from pairlake.operators import calibration, cascade, evaluation, faces, frontier, html, pairing, queue, relational, store
 from pairlake.sources import files, manifest
 
 
@@ -247,3 +247,100 @@ def test_sources(spark, tmp_path):
     with pytest.raises(ValueError, match="calibration"):
         files.calibration_source(files.sources(spark, str(p)))
     assert rows(files.seeds(files.sources(spark, str(p)), 2), "url") == [("https://a/x?page=1",), ("https://a/x?page=2",)]
+
+
+def test_queue_is_a_log(spark):
+    rows = spark.createDataFrame([(k,) for k in range(1, 8)], "id long")
+    log = queue.event(rows, "pending", F.lit(0))
+    taken, marked = queue.dequeue(queue.current(log), 3)
+    log = log.unionByName(marked)
+    assert rows_of(taken) == [1, 2, 3] and queue.current(log).where("status = 'processing'").count() == 3
+    log = log.unionByName(queue.event(taken.where("id = 1"), "failed", F.lit(2), F.repeat(F.lit("x"), 900)))
+    state = {r.id: r for r in queue.current(log).collect()}
+    assert state[1].status == "failed" and len(state[1].reason) == 512 and state[1].number == 2
+    log = log.unionByName(queue.reset_stale(queue.current(log)))
+    assert {r.id: r.status for r in queue.current(log).collect()} == {1: "failed"} | {k: "pending" for k in range(2, 8)}
+    assert rows_of(queue.dequeue(queue.current(log), 2)[0]) == [2, 3]
+    assert queue.dequeue(queue.current(log.limit(0)), 2)[0].count() == 0
+    df = spark.createDataFrame([(1, None), (2, '{"treatment_category": "x"}'), (3, "{}")], "id long, metadata string")
+    assert rows_of(queue.without_label(df)) == [1, 3] and rows_of(queue.without_label(df, 1)) == [1]
+
+
+def rows_of(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_write_path(spark):
+    schema = "id long, before_url string, after_url string, source_url string, before_tier int, after_tier int, before_path string, after_path string, language string, metadata string, ordering_confidence string, source_name string"
+    pairs = spark.createDataFrame([
+        (1, "b1", "a1", "https://h.test/p", 1, 2, "f1", "g1", "en", '{"provider_name": "P"}', None, "s"), (2, "b1", "a2", "https://k.test/p", 2, 2, "f2", "g2", None, "{broken", "HIGH", "s"), (3, "old", None, "https://k.test/p", 1, 1, "f3", "g3", None, None, "", "s"),
+    ], schema)
+    known = spark.createDataFrame([(7, "old")], "id long, source_url string")
+    new = {r.source_url: r for r in store.image_rows(store.sides(pairs), known).collect()}
+    assert set(new) == {"b1", "a1", "a2"} and sorted(r.id for r in new.values()) == [8, 9, 10]
+    assert (new["b1"].file_path, new["b1"].domain, new["b1"].consent_tier) == ("f1", "h.test", 1)
+    images = known.unionByName(spark.createDataFrame([(r.id, u) for u, r in new.items()], "id long, source_url string"))
+    got = {r.queue_id: r for r in store.pair_rows(pairs, images).collect()}
+    assert set(got) == {1, 2} and got[1].practitioner_name == "P" and got[1].ordering_confidence == "UNKNOWN" and got[2].practitioner_name is None
+    have = spark.createDataFrame([(7,)], "image_id long")
+    quarantined = store.quarantine_rows(store.sides(pairs), images, have).collect()
+    assert sorted(r.image_id for r in quarantined) == [8, 9, 10] and {r.source_url for r in quarantined if r.image_id == new["b1"].id} == {"https://h.test/p"}
+    routes = spark.createDataFrame([(3, 1, True, False), (1, 1, None, True), (1, 2, True, True), (1, 2, True, False)], "b int, a int, d boolean, k boolean").select(store.route(F.col("b"), F.col("a"), F.col("d"), F.col("k")).alias("r")).collect()
+    assert [r.r for r in routes] == ["quarantine", "download_failed", "duplicate", "write"]
+    assert store.image_rows(store.sides(pairs.limit(0)), known).count() == 0
+
+
+def test_cascade_and_manifest(spark):
+    schema = "image_id long, readable boolean, quality string, detection string, landmarks boolean, alignment string, pose struct<yaw:double,pitch:double,roll:double>"
+    level = (0.0, 0.0, 0.0)
+    pics = spark.createDataFrame([(1, True, None, None, True, None, level), (2, True, None, None, True, None, (20.0, 0.0, 0.0)), (3, True, "blur", "none", False, "eyes", None), (4, True, None, None, None, None, level), (5, True, None, None, True, None, (1.0, 1.0, 1.0))], schema)
+    pairs = spark.createDataFrame([(10, 1, 5), (11, 1, 2), (12, 1, 3), (13, 4, 1), (14, 1, 99), (15, None, 1)], "pair_id long, before_image_id long, after_image_id long")
+    zones = spark.createDataFrame([(1, "z2"), (1, "z1")], "image_id long, zone_code string")
+    got = {r.pair_id: r for r in cascade.pair_cascade(pairs, pics, zones).collect()}
+    assert got[10].passed and got[10].zone_codes == ["z1", "z2"] and got[11].reject_reason == "pose:yaw_mismatch:20.0>15.0" and got[11].zone_codes == []
+    assert [got[k].reject_reason for k in (12, 13, 14, 15)] == ["quality:after:blur", "landmark:before:no_face_mesh", "quality:unreadable_image", "quality:unreadable_image"]
+    rows_ = spark.createDataFrame([(1, '{"treatment_category": "x"}', "u"), (2, None, "https://h/R/Fillers"), (3, "{}", "https://h/a/botox?x=1/"), (4, None, None)], "id long, metadata string, source_url string")
+    sides = lambda *ids: spark.createDataFrame([(i, s) for i in ids for s in ("before", "after")] + [(4, "before")], "id long, side string")
+    checked = cascade.checked_pairs(rows_, sides(1, 2, 3), sides(1, 2, 3))
+    assert {r.pair_id: r.treatment_category for r in cascade.face_manifest(checked).collect()} == {1: "x", 2: "dermal_filler", 3: "botox"}
+    assert tuple(cascade.manifest_counts(checked).first())[:6] == (4, 1, 0, 3, 3, 100)
+    assert cascade.checked_pairs(rows_, sides(1, 2), sides(2)).where("outcome = 'no_face'").count() == 1
+    with pytest.raises(ValueError, match="needed"):
+        cascade.enough(checked, 4)
+    assert cascade.enough(checked, 3).count() == 3
+
+
+def test_signals_lookup_and_cards(spark):
+    page = '<div class="wrap before-box"><img src="/p/one.jpg?x=1"><img data-src="two.jpg" alt="after"></div><img src="three.jpg"><p>before that</p>'
+    els = html.elements(spark.createDataFrame([(1, page)], "page_id long, html string"))
+    wanted = spark.createDataFrame([(1, "https://h/p/one.jpg?x=1", "before"), (1, "https://h/two.jpg", "after"), (1, "https://h/three.jpg", "before"), (1, "https://h/none.jpg", "after"), (1, "https://h/after/", "after")], "page_id long, url string, side string")
+    got = {r.url.rsplit("/", 1)[-1]: r for r in html.signals(els, wanted).collect()}
+    assert got["one.jpg?x=1"].strong == ["parent_attr"] and got["one.jpg?x=1"].weak
+    assert got["two.jpg"].strong == ["data_attr", "alt_text"] and got["two.jpg"].weak and got["three.jpg"].strong == ["caption"] and not got["three.jpg"].weak
+    assert got["none.jpg"].strong == [] and got[""].strong == ["filename"]
+    assert html.signals(els, wanted.limit(0)).count() == 0
+    assert html.cards(els).first().treatment_name is None
+
+
+def test_frontier_rests(spark):
+    q = spark.createDataFrame([("a",), ("b",), ("",), (None,), ("a",)], "url string")
+    assert rows(frontier.drained(q, spark.createDataFrame([("c",), ("b",)], "url string"), spark.createDataFrame([("b",)], "url string")), "url", "turn") == [("a", 0), ("c", 1)]
+    runs = spark.createDataFrame([("s", 2, 1, None), ("s", 5, 5, "x"), ("t", 1, 1, "y")], "source string, inserted long, skipped long, error string")
+    assert rows(frontier.run_by_source(runs), "source", "n_inserted", "n_skipped", "n_errors", "failed") == [("s", 2, 1, 1, False), ("t", 0, 0, 1, True)]
+    loop = spark.createDataFrame([("l", None, "t1"), ("l", "t1", "t1")], "listing string, cursor string, after string")
+    assert frontier.cursor_pages(loop, F.lit("/l"), 4).count() == 4
+    have = spark.createDataFrame([("p", 2000), ("q", 10), ("p", 3000)], "path string, size long")
+    assert rows(files.with_cache(spark.createDataFrame([("p",), ("q",), ("r",)], "path string"), have), "path", "from_cache") == [("p", True), ("q", False), ("r", False)]
+
+
+def test_thresholds_and_report(spark, tmp_path):
+    found = spark.createDataFrame([("l1", 0.5)], "layer string, threshold double")
+    for version, t in ((1, 0.5), (2, 0.6), (2, 0.7)):
+        manifest.write_thresholds(found.withColumn("threshold", F.lit(t)), str(tmp_path / "t"), version)
+    assert rows(manifest.thresholds(spark, str(tmp_path / "t")), "layer", "threshold", "version") == [("l1", 0.7, 2)]
+    m = spark.createDataFrame([("ssim", 0.5, 3), ("l1", 0.25, 3)], "metric string, value double, n long")
+    by = spark.createDataFrame([(None, "l1", 1.5), ("botox", "l1", 2.5)], "treatment string, metric string, value double")
+    text = manifest.report(m, by, "v1")
+    assert text.first().report == '{"model_tag":"v1","num_samples":3,"metrics":{"l1":0.25,"ssim":0.5},"per_treatment":{"botox":{"l1":2.5},"unknown":{"l1":1.5}}}'
+    manifest.write_report(text, str(tmp_path / "r"))
+    assert spark.read.text(str(tmp_path / "r")).count() == 1

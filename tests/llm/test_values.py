@@ -17,9 +17,13 @@ NAN, INF = float("nan"), float("inf")
 ENTRIES = [(1, "Gridusbel", ["그리두스벨"]), (2, "Gridusbel Hydra", [None]), (3, "Peastgo Contour", []), (4, "lip_volume", ["입술 볼륨", "volume labial"]), (5, "nose_reshape", ["remodelação nasal"]), (6, "Rinerqui", [])]
 
 
+#: What is learnt from values that stand beside enough entries, given here by hand.
+ADDED = frozenset({("right", "# ml"), ("left", "# syringes of"), ("left", "brand"), ("right", "see notes"), ("right", "both sides")})
+
+
 @pytest.fixture(scope="module")
 def trie():
-    return match.Trie(ENTRIES)
+    return match.Trie(ENTRIES, ADDED)
 
 
 @pytest.mark.parametrize(
@@ -71,18 +75,21 @@ def test_blocks_choose_as_one_list_and_values_may_be_long(spark, monkeypatch):
     names = ["Restylane", "Restylame", "Botox", "Gridusbel", "Gridusbel Hydra", "Peastgo Contour", "Peastgo Ultra"]
     terms = spark.createDataFrame([(k, "brand", n, None) for k, n in enumerate(names, 1)], "term_id long, kind string, name string, name_ko string")
     long = "botox " + "(see notes) both sides " * 40
-    typed = ["Restylabe", "restylane 1ml", long, "x" * 100_000, "1ml " * 5000, "peast", "Gridu", "hydra gridusbel", "peastgo", "Botx", "", "??"]
+    seen = [f"{n} {x}" for n in names[:4] for x in ("1ml", "- see notes", "(both sides)", "hidra")]
+    typed = ["Restylabe", "restylane 1ml", long, "x" * 100_000, "1ml " * 5000, "peast", "Gridu", "hydra gridusbel", "peastgo", "Botx", "", "??", *seen]
     labels = spark.createDataFrame([(k, v) for k, v in enumerate(typed)], "id long, b string")
     get = lambda: {(x.label_id, x.term_id) for x in match.map_labels(labels, terms, {"b": "brand"}).collect()}
     one = get()
     assert {(0, 0), (1, 1), (2, 3), (3, 0), (4, 0), (5, 0), (6, 4), (7, 5), (9, 3)} <= one
+    added = match.learnt(match.spread(match.long_values(labels, {"b": "brand"})), match._blocks(terms))
+    assert added == {("right", "# ml"), ("right", "see notes"), ("right", "both sides")}
     for block in (1, 2, 3):
         monkeypatch.setattr(match, "MAX_ENTRIES", block)
         assert get() == one
         found = match.within(match.long_values(labels, {"b": "brand"}), terms).collect()
         assert {(x.term_id, x.distance) for x in found if x.value == "Restylabe"} == {(1, 1), (2, 1)}
         for x in found:
-            s, n = match.letters(match.trimmed(x.value)), match.letters(match.fold(names[x.term_id - 1]))
+            s, n = match.letters(match.trimmed(x.value, added)), match.letters(match.fold(names[x.term_id - 1]))
             assert x.distance == damerau(s, n) <= match.limit(len(s))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairlake.functions import geometry, texts, vectors
+from pairlake.functions import geometry, texts, urls, vectors
 from pairlake.operators import cascade, evaluation, faces, kernels
 from pairlake.plans.sql import COS, NEXT, SCORED
 from pairlake.runtime import table
@@ -124,8 +124,22 @@ def fallback_errors(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.with_fallback(n, "prediction", "embedding").select("vec_id", F.round(vectors.l1(F.col("prediction"), F.col("after")), 6).alias("l1"))
 
 
+def shard_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Places of the aligned pictures of every pair."""
+    return table(spark, sf, "image_pair").select("id").distinct().select("id", urls.shard_path(F.col("id"), "before").alias("before_path"), urls.shard_path(F.col("id"), "after").alias("after_path"))
+
+
+def face_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the largest faces of a pair's pictures are of one person; faces take the embedding of their picture's and their own number."""
+    e = table(spark, sf, "embeddings")
+    n = e.agg(F.count(F.lit(1)).alias("n"))
+    own = _faces(spark, sf).join(F.broadcast(n), F.lit(True)).withColumn("vec_id", (F.col("image_id") * 7 + F.col("x1")) % F.col("n")).join(e.select("vec_id", "embedding"), "vec_id", "left").drop("n", "vec_id")
+    pairs = table(spark, sf, "image_pair").select(F.col("id").alias("pair_id"), "before_image_id", "after_image_id").distinct()
+    return faces.same_person(own, pairs, 0.05).select("pair_id", F.round("similarity", 6).alias("similarity"), "same")
+
+
 QUERIES = [
-    picture_scores, picture_bytes, ssim_scores, quality_grades, face_acceptance, largest_faces, eye_points, head_poses, ordering_gates, paired_factors, unit_range, identity_means, fallback_errors,
+    shard_paths, face_pairs, picture_scores, picture_bytes, ssim_scores, quality_grades, face_acceptance, largest_faces, eye_points, head_poses, ordering_gates, paired_factors, unit_range, identity_means, fallback_errors,
 ]
 
 FACES = """SELECT id AS image_id, k, CASE WHEN k = 3 THEN 2 ELSE 1 END AS method, k * 10 AS x1, 0 AS y1, (k * 10 + 60 + id * k % 60)::INT AS x2, (70 + id % 30)::INT AS y2, (85 + id % 16 - k) / 100.0::DOUBLE AS confidence
@@ -137,6 +151,10 @@ E = [f"embedding[{k}]::DOUBLE" for k in range(13)]
 GOOD = "coalesce(NOT (width < 200 OR height < 200), true) AND coalesce(NOT blur_score < 80, true) AND coalesce(NOT lighting_uniformity < 0.35::DOUBLE, true) AND coalesce(isnan(mean_brightness) OR mean_brightness BETWEEN 15 AND 245, true)"
 
 SQL = {
+    "shard_paths": "SELECT DISTINCT id, lpad((id % 100)::VARCHAR, 2, '0') || '/' || id || '_before.jpg' AS before_path, lpad((id % 100)::VARCHAR, 2, '0') || '/' || id || '_after.jpg' AS after_path FROM image_pair",
+    "face_pairs": f"""WITH f AS ({FACES} QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY (x2 - x1) * (y2 - y1) DESC, x1, y1) = 1), v AS (SELECT image_id, e.embedding x FROM f LEFT JOIN embeddings e ON e.vec_id = (image_id * 7 + x1) % (SELECT count(*) FROM embeddings)),
+        j AS (SELECT DISTINCT p.id AS pair_id, b.image_id IS NOT NULL AND a.image_id IS NOT NULL AS both_, {COS.format(a="b.x", b="a.x")} c FROM image_pair p LEFT JOIN v b ON b.image_id = before_image_id LEFT JOIN v a ON a.image_id = after_image_id)
+        SELECT pair_id, CASE WHEN both_ THEN round(c, 6) ELSE 0.0 END AS similarity, CASE WHEN both_ THEN coalesce(c >= 0.05, true) ELSE false END AS same FROM j""",
     "picture_scores": f"""WITH p AS ({PIXELS}), l AS (SELECT vec_id, v * 100 + 100 AS v, 100 * (e[abs(r - 1) * 8 + c + 1]::DOUBLE + e[(7 - abs(6 - r)) * 8 + c + 1]::DOUBLE + e[r * 8 + abs(c - 1) + 1]::DOUBLE + e[r * 8 + 7 - abs(6 - c) + 1]::DOUBLE - 4 * v) AS d FROM p)
         SELECT vec_id, round(var_pop(d), 3) AS blur, round(greatest(0.0, 1 - stddev_pop(v) / avg(v)), 5) AS uniformity, round(avg(v), 4) AS brightness, 8 AS width, 8 AS height FROM l GROUP BY 1""",
     "picture_bytes": "WITH o AS (SELECT id, id % 7 <> 0 AND id % 11 <> 0 AS ok FROM image) SELECT id, CASE WHEN ok THEN 0.0::DOUBLE END AS blur_score, CASE WHEN ok THEN (id % 256)::DOUBLE END AS mean_brightness, CASE WHEN ok THEN 4 ELSE 0 END AS width, CASE WHEN ok THEN 3 ELSE 0 END AS height FROM o",

@@ -9,7 +9,7 @@ from pairlake.plans import catalogue
 FOLDER = "/root/testdata/sf0.001"
 #: Joined with one row, or a stated set of query rows against all rows.
 ONE_ROW = {
-    "class_balance", "consistency_score", "cosine_topk", "query_seeds", "new_images", "image_upserts", "consent_records", "pair_rows", "quarantine_rows", "evaluation_report",
+    "class_balance", "consistency_score", "cosine_topk", "query_seeds", "new_images", "image_upserts", "consent_records", "pair_rows", "quarantine_rows", "evaluation_report", "face_pairs",
 }
 #: These have run by the time there is a plan.
 EAGER = {"stream_dedup", "stream_batches", "frontier_bfs", "synthetic_negatives"}

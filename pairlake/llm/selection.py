@@ -31,7 +31,10 @@ def _bin(key: str, kind: str) -> Column:
     k, lo, hi = F.col(key), F.col("lo_"), F.col("hi_")
     if kind in ("double", "float"):
         return F.when(hi > lo, F.least(F.lit(BINS - 1), F.floor((k - lo) / (hi - lo) * BINS))).otherwise(F.lit(0)).cast("int")
-    return F.floor((k - lo) / F.ceil((hi - lo + 1) / BINS)).cast("int")
+    # the span of keys of both signs may not fit into a whole number: the sign parts them first
+    span = F.try_subtract(hi, lo)
+    equal = F.expr(f"({key} - lo_) div ((hi_ - lo_) div {BINS} + 1)")
+    return F.when(span.isNull(), (k >= 0).cast("int")).otherwise(equal).cast("int")
 
 
 def kth(rows: DataFrame, ranks: DataFrame, group: list[str], key: str) -> DataFrame:
@@ -41,9 +44,11 @@ def kth(rows: DataFrame, ranks: DataFrame, group: list[str], key: str) -> DataFr
     """
     kind = dict(rows.dtypes)[key]
     open_, done = cut(ranks.select(*group, "left", "lo_", "hi_")), None
-    inside = rows.select(*group, key)
+    own = rows.select(*group, key)
     while True:
-        counted = joined(inside, open_, group).groupBy(*group, "left", _bin(key, kind).alias("bin_")).agg(F.count(F.lit(1)).alias("n_"), F.min(key).alias("lo_"), F.max(key).alias("hi_"))
+        # rows are always taken from the table itself, by the ends of the bin: plans don't grow with the rounds
+        inside = joined(own, open_, group).where(F.col(key).between(F.col("lo_"), F.col("hi_")))
+        counted = inside.groupBy(*group, "left", _bin(key, kind).alias("bin_")).agg(F.count(F.lit(1)).alias("n_"), F.min(key).alias("lo_"), F.max(key).alias("hi_"))
         upto = counted.withColumn("upto_", F.sum("n_").over(Window.partitionBy(*group).orderBy("bin_")))
         hit = upto.where("upto_ >= left and upto_ - n_ < left")
         hit = cut(hit.select(*group, (F.col("left") - F.col("upto_") + F.col("n_")).alias("left"), "lo_", "hi_", "n_"))
@@ -52,4 +57,3 @@ def kth(rows: DataFrame, ranks: DataFrame, group: list[str], key: str) -> DataFr
         open_ = hit.where("lo_ < hi_").select(*group, "left", "lo_", "hi_")
         if open_.isEmpty():
             return done
-        inside = joined(inside, open_.select(*group, "lo_", "hi_"), group).where(F.col(key).between(F.col("lo_"), F.col("hi_"))).select(*group, key)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -67,8 +68,9 @@ def detect_language(text: Column) -> Column:
 
 def mentions(text: Column, words: list[str]) -> Column:
     """Whether a text holds any of the words, as a substring and in any case."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w))
+    # an array of one text: its letters are lowered once, not for each word
+    low = F.array(F.lower(F.coalesce(text, F.lit(""))))
+    return F.exists(low, lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in words]))
 
 
 def keyword_pair_score(before_text: Column, after_text: Column, similarity: Column | None = None) -> Column:

@@ -216,14 +216,19 @@ def figure_pairs(pics: DataFrame, either: bool = False, page_id: str = "page_id"
     return pairing.first_two(figures, [page_id, "parent"], ["pos"], "src").withColumn("n", F.row_number().over(Window.partitionBy(page_id).orderBy("parent"))).select(page_id, "n", "before", "after")
 
 
-def picture_of(els: DataFrame, wanted: DataFrame, url: str = "url", page_id: str = "page_id") -> DataFrame:
-    """(wanted columns, pos): the first picture of the page whose source holds the address, or the file name at its end; null where there is none."""
-    src = F.coalesce(F.nullif(attribute("src"), F.lit("")), attribute("data-src"), F.lit(""))
-    pics = els.where("tag = 'img'").select(F.col(page_id).alias("page_"), "pos", src.alias("src_"))
-    name = F.substring_index(path(F.col(url)), "/", -1)
-    hit = F.contains("src_", F.col(url)) | ((name != "") & F.contains("src_", name))
-    found = wanted.join(pics, (F.col(page_id) == F.col("page_")) & hit, "left")
-    return found.groupBy(*wanted.columns).agg(F.min("pos").alias("pos"))
+#: Bits of the signs that an element gives: three of a picture itself, then its attributes and its text for pictures in and beside it.
+DATA, ALT, CLASS, AROUND, SAID = 1, 2, 4, 8, 16
+#: Elements whose text is a picture's caption if they follow it, or hold it.
+FOLLOWING, HOLDING = ("p", "span", "div", "caption", "figcaption"), "figure"
+
+
+def _signs(words: list[str]) -> Column:
+    """Bits of what an element says of the words."""
+    picture, no_map = F.col("tag") == "img", F.create_map().cast("map<string,string>")
+    attrs = F.coalesce("attrs", no_map)
+    bit = lambda where, text, value: F.when(where & mentions(text, words), value).otherwise(0)
+    own = bit(picture, F.array_join(F.concat(F.map_keys(attrs), F.map_values(attrs)), " "), DATA) + bit(picture, attribute("alt"), ALT) + bit(picture, attribute("class"), CLASS)
+    return own + bit(~picture, F.array_join(F.map_values(attrs), " "), AROUND) + bit(F.col("tag").isin(*FOLLOWING, HOLDING), F.col("text"), SAID)
 
 
 def signals(els: DataFrame, wanted: DataFrame, page_id: str = "page_id") -> DataFrame:
@@ -231,27 +236,42 @@ def signals(els: DataFrame, wanted: DataFrame, page_id: str = "page_id") -> Data
 
     ``strong`` holds the kinds of sign in fixed order: filename, data_attr, alt_text, css_class, parent_attr (up to
     six elements around), caption; ``weak`` says whether the picture is in its side's place of two.
+
+    All that speaks for a picture is on its page: a page's elements are brought together once, as numbers and bits, and
+    meet the page's wanted pictures in one join. The plan has two exchanges however many kinds of sign there are.
     """
-    pics = images(els, page_id).select(page_id, "pos", "parent", "alt", "class", "attrs", "around", "caption")
-    found = picture_of(els, wanted, page_id=page_id).join(pics, [page_id, "pos"], "left")
-    # the elements around a picture are those that begin before it and end after it
-    open_ = els.where("tag <> 'img'").select(page_id, F.col("pos").alias("o_pos"), "last", F.col("attrs").alias("o_attrs"), F.col("depth").alias("o_depth"))
-    at = els.select(page_id, "pos", "depth")
-    up = found.where("pos is not null").select(page_id, "url", "side", "pos").join(at, [page_id, "pos"]).join(open_, page_id).where("o_pos < pos and pos <= last and o_depth >= depth - 6")
-    said = lambda text: F.when(F.col("side") == "before", mentions(text, BEFORE_WORDS)).otherwise(mentions(text, AFTER_WORDS))
-    values = lambda m: F.array_join(F.concat(F.map_keys(m), F.map_values(m)), " ")
-    around = up.groupBy(page_id, "url", "side").agg(F.max(said(F.array_join(F.map_values("o_attrs"), " "))).alias("parent_attr"))
-    same = els.where("tag = 'img'").select(page_id, F.col("pos").alias("i_pos"), "parent")
-    place = found.where("pos is not null").select(page_id, "url", "side", "pos", "parent").join(same, [page_id, "parent"]).groupBy(page_id, "url", "side").agg((F.count(F.lit(1)) == 2).alias("two"), (F.min("i_pos") == F.max("pos")).alias("first"))
-    rows = found.join(around, [page_id, "url", "side"], "left").join(place, [page_id, "url", "side"], "left")
-    there, no = F.col("pos").isNotNull(), F.lit(False)
+    src = F.when(F.col("tag") == "img", F.coalesce(F.nullif(attribute("src"), F.lit("")), attribute("data-src"), F.lit("")))
+    follows = F.col("tag").isin(*FOLLOWING) & F.col("text").isNotNull()
+    element = F.struct("pos", "parent", "depth", "last", src.alias("src"), follows.alias("follows"), (F.col("tag") == HOLDING).alias("figure"), _signs(BEFORE_WORDS).alias("b"), _signs(AFTER_WORDS).alias("a"))
+    pages = els.where("tag is not null").select(page_id, element.alias("e")).groupBy(page_id).agg(F.collect_list("e").alias("els_"))
+    # an address's path is taken out before the groups, else it would be for each element
+    own = F.struct("url", "side", F.substring_index(path(F.col("url")), "/", -1).alias("name"), path(F.col("url")).alias("path"))
+    rows = wanted.select(page_id, own.alias("w")).groupBy(page_id).agg(F.collect_set("w").alias("ws")).join(pages, page_id, "left").select(page_id, F.explode("ws").alias("w"), F.coalesce("els_", F.array().cast(pages.schema["els_"].dataType)).alias("els_"))
+    w = F.col("w")
+    signs = lambda e: F.when(w["side"] == "before", e["b"]).otherwise(e["a"])
+    has = lambda bits, bit: F.coalesce(bits.bitwiseAND(F.lit(bit)) != 0, F.lit(False))
+    hit = lambda e: F.contains(e["src"], w["url"]) | ((w["name"] != "") & F.contains(e["src"], w["name"]))
+    pick = lambda where, *values: F.array_min(F.transform(F.filter("els_", where), lambda e: F.struct(e["pos"].alias("pos"), *[v(e) for v in values])))
+    rows = rows.withColumn("pic", pick(lambda e: e["src"].isNotNull() & hit(e), lambda e: e["parent"].alias("parent"), lambda e: e["depth"].alias("depth"), lambda e: signs(e).alias("signs")))
+    pic = F.col("pic")
+    around = lambda e: (e["pos"] < pic["pos"]) & (pic["pos"] <= e["last"]) & (e["depth"] >= pic["depth"] - 6)
+    beside = lambda e: e["parent"] == pic["parent"]
+    bits = lambda e: signs(e).alias("signs")
+    rows = rows.withColumns({
+        "parent_attr": F.exists("els_", lambda e: e["src"].isNull() & around(e) & has(signs(e), AROUND)),
+        "figure": pick(lambda e: e["figure"] & (e["pos"] == pic["parent"]), bits),
+        "next": pick(lambda e: e["follows"] & beside(e) & (e["pos"] > pic["pos"]), bits),
+        "places": F.transform(F.filter("els_", lambda e: e["src"].isNotNull() & beside(e)), lambda e: e["pos"]),
+    })
+    no = F.lit(False)
     kinds = {
-        "filename": said(path(F.col("url"))), "data_attr": there & said(values(F.coalesce("attrs", F.create_map().cast("map<string,string>")))), "alt_text": there & said(F.col("alt")),
-        "css_class": there & said(F.col("class")), "parent_attr": F.coalesce("parent_attr", no), "caption": there & said(F.col("caption")),
+        "filename": F.when(w["side"] == "before", mentions(w["path"], BEFORE_WORDS)).otherwise(mentions(w["path"], AFTER_WORDS)), "data_attr": has(pic["signs"], DATA), "alt_text": has(pic["signs"], ALT),
+        "css_class": has(pic["signs"], CLASS), "parent_attr": F.coalesce("parent_attr", no), "caption": has(F.when(F.col("figure").isNotNull(), F.col("figure")["signs"]).otherwise(F.col("next")["signs"]), SAID),
     }
     strong = F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in kinds.items()]), lambda x: x.isNotNull())
-    weak = F.coalesce(F.col("two") & F.when(F.col("side") == "before", F.col("first")).otherwise(~F.col("first")), no)
-    return rows.select(page_id, "url", "side", strong.alias("strong"), weak.alias("weak"))
+    first = F.array_min("places") == pic["pos"]
+    weak = F.coalesce((F.size("places") == 2) & F.when(w["side"] == "before", first).otherwise(~first), no)
+    return rows.select(page_id, "w.url", "w.side", strong.alias("strong"), weak.alias("weak"))
 
 
 def scored_pairs(found: DataFrame, by: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pairlake.functions import texts, urls
 from pairlake.functions.vocabulary import AFTER_WORDS, BEFORE_WORDS
 from pairlake.operators import frontier, html
 from pairlake.plans.sql import SLUG_ROWS, any_word
-from pairlake.runtime import cut, table, written
+from pairlake.runtime import cut, table
 
 #: Places in a page's text: the row's id and its three pictures.
 ID, B, A, C = "<id>", "<b>", "<a>", "<c>"
@@ -71,7 +71,7 @@ def _signals(spark: SparkSession, sf: str) -> DataFrame:
     own = F.when(F.col("page_id") % 7 == 6, F.lit(True)).otherwise(F.lit(False))
     name = lambda k, folder: F.concat(F.when(own, folder).otherwise(""), F.lit("u"), F.col("page_id").cast("string"), F.lit(f"-{k}.jpg"))
     wanted = pages.select("page_id", F.explode(F.array(F.struct(name(1, "before/").alias("url"), F.lit("before").alias("side")), F.struct(name(2, "after/").alias("url"), F.lit("after").alias("side")))).alias("x")).select("page_id", "x.*")
-    return html.signals(written(html.elements(pages), "elements"), wanted)
+    return html.signals(html.elements(pages), wanted)
 
 
 def structural_signals(spark: SparkSession, sf: str) -> DataFrame:

@@ -322,6 +322,18 @@ def test_signals_lookup_and_cards(spark):
     assert html.cards(els).first().treatment_name is None
 
 
+def test_signals_of_pages_apart(spark):
+    figure = '<div class="antes"><figure><img src="a.jpg"><figcaption>nothing</figcaption></figure><p>before</p></div>'
+    deep = '<div data-x="after"><p>' + "<span>" * 4 + '<img src="b.jpg">' + "</span>" * 4 + '</p></div><div data-x="after"><p>' + "<span>" * 5 + '<img src="c.jpg">'
+    els = html.elements(spark.createDataFrame([(1, figure), (2, deep), (3, '<img src="a.jpg"><b>before</b><img alt="after" src="d.jpg"><p>x</p><p>before</p>')], "page_id long, html string"))
+    asked = [(1, "a.jpg", "before"), (1, "a.jpg", "before"), (1, "a.jpg", "after"), (2, "b.jpg", "after"), (2, "c.jpg", "after"), (3, "a.jpg", "before"), (3, "d.jpg", "after"), (3, None, "after"), (4, "a.jpg", "before"), (None, "/after/a.jpg", "after")]
+    got = {(r.page_id, r.url, r.side): (r.strong, r.weak) for r in html.signals(els, spark.createDataFrame(asked, "page_id long, url string, side string")).collect()}
+    assert got == {
+        (1, "a.jpg", "before"): (["parent_attr"], False), (1, "a.jpg", "after"): ([], False), (2, "b.jpg", "after"): (["parent_attr"], False), (2, "c.jpg", "after"): ([], False),
+        (3, "a.jpg", "before"): ([], True), (3, "d.jpg", "after"): (["data_attr", "alt_text"], True), (3, None, "after"): ([], False), (4, "a.jpg", "before"): ([], False), (None, "/after/a.jpg", "after"): (["filename"], False),
+    }
+
+
 def test_frontier_rests(spark):
     q = spark.createDataFrame([("a",), ("b",), ("",), (None,), ("a",)], "url string")
     assert rows(frontier.drained(q, spark.createDataFrame([("c",), ("b",)], "url string"), spark.createDataFrame([("b",)], "url string")), "url", "turn") == [("a", 0), ("c", 1)]

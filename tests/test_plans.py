@@ -49,3 +49,10 @@ def test_every_scored_picture_has_a_reason(spark, tmp_path):
     assert got == {"resolution_too_small": 1, "PASS": 2, "overexposed": 2, "lighting_uneven": 1, "blur_too_low": 1, "underexposed": 1}
     means = {r.metric: r["mean"] for r in catalogue.queries()["batch_mean_of_means_all"](spark, str(tmp_path)).collect()}
     assert means == {"blur_score": pytest.approx((2e6 + 90 + 100) / 3, abs=1e-4), "lighting_uniformity": pytest.approx(0.7), "mean_brightness": pytest.approx(127.5)}
+
+
+@pytest.mark.parametrize("name", ["structural_signals", "structural_scores"])
+def test_signs_of_a_page_meet_in_one_join(spark, name):
+    # the driver holds the plan and makes it anew after each exchange
+    text = plan(spark, name)
+    assert text.count("Exchange hashpartitioning") <= 3 and text.count("Join") == 1

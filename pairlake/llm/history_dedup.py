@@ -17,10 +17,14 @@ distance. Rows within the radius are near-duplicates; those that also agree in
 a 128-bit hash of the two pictures (the exact check) are repeats.
 
 ``History`` is that table in the shared folder, range-partitioned and sorted
-by the first distance. Accepted addresses are parsed once, when it is made. A
-batch is parsed alone, reads only the ranges that its own distances reach
-(partition pruning), is joined range by range without moving history while it
-is of bounded size, and appends its new rows; batches are admitted in order.
+by the first distance. Accepted addresses are parsed once, when it is made.
+New rows are parsed alone, read only the ranges that their own distances reach
+(partition pruning) and are joined without moving history while they are of
+bounded size. Batches that come together are admitted in order but in one pass:
+a row meets history, its own batch and earlier batches, so history is read and
+moved once, not once a batch; then links to rows that weren't admitted
+themselves (they had a same row with a smaller id before them) are dropped, and
+the new rows are appended. That is what one batch after the other gives.
 
 Copies of one row are one point of the table, so they are no hot cell; ranges
 come from the data's own distribution, so a site with a third of all rows
@@ -40,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairlake.llm.pictures import with_pictures
-from pairlake.runtime import BROADCAST_ROWS, cut, fresh_path
+from pairlake.runtime import bounded, cut, fresh_path, written
 
 PRINTS = ["f0", "f1"]
 COORDINATES = ["c0", "c1", "c2", "c3"]
@@ -55,6 +59,8 @@ PIVOTS = [(0, 0, 0, 0), (0, 0, TOP, TOP), (0, TOP, 0, TOP), (0, TOP, TOP, 0)]
 RADIUS = 2
 #: History has about so many rows in a range; ranges are at least 8, at most 256.
 RANGE_ROWS = 100_000
+#: Batch of accepted rows: before all others.
+ACCEPTED = -(1 << 62)
 NUMBER = r"(\d{1,6})$"
 
 
@@ -111,26 +117,29 @@ def write_table(table: DataFrame, path: str, mode: str = "append", files: int |
     (table.repartitionByRange(files, *by) if files else table.repartitionByRange(*by)).sortWithinPartitions(*by).write.mode(mode).parquet(path)
 
 
-def near(known: DataFrame, new: DataFrame, radius: int = RADIUS, small: bool = False) -> DataFrame:
+def near(known: DataFrame, new: DataFrame, radius: int = RADIUS, small: bool = False, order: str | None = None) -> DataFrame:
     """(id, f0, f1, known_id, distance, same) of all rows of two pivot tables within the radius of each other.
 
     Rows meet in cells of the first two pivots, wide enough that most of ``new`` reaches one cell only.
-    ``small``: ``new`` is known to be of bounded size and is sent to where ``known`` lies.
+    ``small``: ``new`` is known to be of bounded size and is sent to where ``known`` lies. ``order``: a column of
+    both; rows meet only what isn't later than they are, and the result has it too, and known's as known_(order).
     """
     bits = (4 * radius + 3).bit_length()
+    columns = [*COLUMNS, order] if order else COLUMNS
     # one struct a row instead of eleven renamed columns: the optimizer infers less from it
-    left = new.select(F.struct(*COLUMNS).alias("n"))
+    left = new.select(F.struct(*columns).alias("n"))
     for k in (0, 1):
         d = F.col(f"n.d{k}")
         left = left.withColumn(f"cell_{k}", F.explode(F.sequence(F.shiftright(d - radius, bits), F.shiftright(d + radius, bits))))
-    right = known.select(F.struct(*COLUMNS).alias("k"), *[F.shiftright(f"d{k}", bits).alias(f"cell_{k}") for k in (0, 1)])
+    right = known.select(F.struct(*columns).alias("k"), *[F.shiftright(f"d{k}", bits).alias(f"cell_{k}") for k in (0, 1)])
     joined = right.join(F.broadcast(left) if small else left, ["cell_0", "cell_1"])
-    close = F.lit(True)
+    close = F.col(f"k.{order}") <= F.col(f"n.{order}") if order else F.lit(True)
     for d in DISTANCES:
         close = close & (F.abs(F.col(f"k.{d}") - F.col(f"n.{d}")) <= radius)
     gap = _distance([F.col(f"k.{c}") for c in COORDINATES], [F.col(f"n.{c}") for c in COORDINATES])
     same = (F.col("k.f0") == F.col("n.f0")) & (F.col("k.f1") == F.col("n.f1"))
-    return joined.where(close).select("n.id", "n.f0", "n.f1", F.col("k.id").alias("known_id"), gap.alias("distance"), same.alias("same")).where(F.col("distance") <= radius)
+    ordered = [F.col(f"n.{order}").alias(order), F.col(f"k.{order}").alias(f"known_{order}")] if order else []
+    return joined.where(close).select("n.id", "n.f0", "n.f1", F.col("k.id").alias("known_id"), gap.alias("distance"), same.alias("same"), *ordered).where(F.col("distance") <= radius)
 
 
 def repeated(incoming: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -193,29 +202,24 @@ class History:
         own.sortWithinPartitions("cell", "d0").write.mode("append").partitionBy("cell").parquet(self.path)
 
     def admit_batches(self, incoming: DataFrame, batch: str, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
-        """(repeats, links) of points with a batch number; batches are admitted in order, each appends its new rows.
+        """(repeats, links) of points with a batch number; batches are admitted in order, in one pass, and new rows appended.
 
         repeats: (first_id, dup_id); links: (id, f0, f1, known_id, distance, same), all pairs of
         one row per two pictures within the radius. Rows without a batch number come first.
         """
-        read = lambda path, schema: self.spark.read.schema(schema).parquet(path)
-        longs = lambda names: ", ".join(f"{c} long" for c in names)
         rows = cut(incoming.select("id", *PRINTS, *COORDINATES, F.coalesce(F.col(batch).cast("long"), F.lit(-1)).alias("batch")))
-        reach = [self.cell(F.col("d0") + s).alias(n) for s, n in ((-radius, "low"), (radius, "high"))]
-        parts, links = fresh_path(self.spark, "batches"), fresh_path(self.spark, "links")
-        pivot_table(rows, ["batch"]).withColumns({"low": reach[0], "high": reach[1]}).repartition("batch").write.partitionBy("batch").parquet(parts)
-        own_schema, link_schema = longs(COLUMNS) + ", low int, high int", longs(["id", *PRINTS, "known_id", "distance"]) + ", same boolean"
-        reached = self.spark.read.schema(own_schema + ", batch long").parquet(parts)
-        plan = reached.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.collect_set("low").alias("lows"), F.collect_set("high").alias("highs")).orderBy("batch").collect()
-        for r in plan:
-            own = read(f"{parts}/batch={r['batch']}", own_schema).select(*COLUMNS)
-            known = self.rows(sorted({*r["lows"], *r["highs"]})).select(*COLUMNS).unionByName(own)
-            small = r["n"] <= BROADCAST_ROWS
-            near(known, own, radius, small).where("known_id < id").write.parquet(f"{links}/{r['batch']}")
-            found = read(f"{links}/{r['batch']}", link_schema).where("same").select("id")
-            self.append(own.join(F.broadcast(found) if small else found, "id", "left_anti"), small)
-        done = [f"{links}/{r['batch']}" for r in plan]
-        found = self.spark.read.schema(link_schema).parquet(*done) if done else self.spark.createDataFrame([], link_schema)
+        own = written(pivot_table(rows, ["batch"]), "batches")
+        reach = F.sequence(self.cell(F.col("d0") - radius), self.cell(F.col("d0") + radius))
+        cells = sorted(r["c"] for r in own.select(F.explode(reach).alias("c")).distinct().collect())
+        known = self.rows(None if len(cells) > len(self.lows) else cells).select(*COLUMNS, F.lit(ACCEPTED).cast("long").alias("batch"))
+        small = bounded(own)
+        links = written(near(known.unionByName(own), own, radius, small, "batch").where("known_id < id"), "links")
+        # a row with the same two pictures before it isn't admitted, so that no later row meets it
+        refused = links.where("same").select("id", "batch").distinct()
+        met = refused.select(F.col("id").alias("known_id"), F.col("batch").alias("known_batch"))
+        later = links.where("known_batch < batch").join(met, ["known_id", "known_batch"], "left_anti")
+        found = links.where("known_batch = batch").unionByName(later).select("id", *PRINTS, "known_id", "distance", "same")
+        self.append(own.join(refused, ["id", "batch"], "left_anti"), small)
         # a row of its own batch is a first one unless a smaller id was linked to it
-        firsts = found.where("same").select(*PRINTS, F.col("known_id").alias("first_id")).unionByName(reached.select(*PRINTS, F.col("id").alias("first_id")))
+        firsts = found.where("same").select(*PRINTS, F.col("known_id").alias("first_id")).unionByName(own.select(*PRINTS, F.col("id").alias("first_id")))
         return repeated(rows, firsts), found

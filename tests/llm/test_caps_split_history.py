@@ -224,3 +224,30 @@ def test_a_batch_reads_only_the_ranges_it_reaches(spark, tmp_path):
     lows = [None, *history.lows]
     for x in history.rows().select("cell", "d0", history.cell(F.col("d0")).alias("c")).collect():
         assert x.c == x.cell and (lows[x.cell] is None or lows[x.cell] <= x.d0)
+
+
+def test_batches_in_one_pass_are_batches_one_by_one(spark, tmp_path):
+    r = random.Random(3)
+    old = [(i, SHOT.format(1, "before", r.randint(1, 6)), SHOT.format(1, "after", r.randint(1, 3)), 0) for i in range(1, 15)]
+    new = [(i, SHOT.format(1, "before", r.randint(1, 6)), SHOT.format(1, "after", r.randint(1, 6)), 1 + i % 4) for i in range(20, 90)]
+    schema = "id long, before_url string, after_url string, batch int"
+    # ids don't rise with the batches: what was admitted first may have the larger id
+    old, new = cut(hist.points(spark.createDataFrame(old, schema), keep=["batch"])), cut(hist.points(spark.createDataFrame(new, schema), keep=["batch"]))
+    rows = lambda df: sorted(tuple(x) for x in df.collect())
+    once = hist.History.create(old, str(tmp_path / "once"))
+    _, links = once.admit_batches(new, "batch")
+    each, want = hist.History.create(old, str(tmp_path / "each")), []
+    for k in range(1, 5):
+        want += rows(each.admit_batches(new.where(F.col("batch") == k), "batch")[1])
+    assert rows(links) == sorted(want) and len(want) > 50
+    assert rows(once.rows().select("id", *hist.PRINTS)) == rows(each.rows().select("id", *hist.PRINTS))
+
+
+def test_history_is_read_once_for_all_batches(spark, tmp_path, monkeypatch):
+    rows = [(i, SHOT.format(i, "before", 1), SHOT.format(i, "after", 2), i % 12) for i in range(1, 60)]
+    pts = cut(hist.points(spark.createDataFrame(rows, "id long, before_url string, after_url string, batch int"), keep=["batch"]))
+    history, reads = hist.History.create(pts, str(tmp_path / "p")), []
+    own = hist.History.rows
+    monkeypatch.setattr(hist.History, "rows", lambda self, cells=None: reads.append(cells) or own(self, cells))
+    history.admit_batches(pts, "batch")
+    assert len(reads) == 1

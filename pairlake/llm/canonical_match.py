@@ -13,7 +13,9 @@ One entry is then chosen for a value (``map_labels``). Letters are folded (width
 accents, look-alike letters and digits), and what is added around a name (quantities, notes,
 prefixes) is taken off. Additions are learnt from the values themselves: what stands beside
 a name that is spelled exactly, with numbers as such, is an addition if it is seen beside at
-least ``LEARNT`` different entries and isn't near a word of an entry. The trie is asked in a
+least ``LEARNT`` different entries and isn't near a word of an entry; none is dropped for its
+length or rank. Up to ``ADDITIONS`` of them are sent to executors as a set; if there are more,
+each value is joined with those that occur in it. The trie is asked in a
 fixed order, and the first answer that names one entry
 holds: path spelled exactly (whole value, then its parts), words in any order, then the
 automaton with rising edits (the nearest entry; of equally near ones none is taken), and a
@@ -44,14 +46,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairlake.llm.textnorm import INVISIBLE, fold
-from pairlake.runtime import cut
+from pairlake.runtime import bounded, cut
 
 MAX_ENTRIES = 100_000
 
 # Digits and signs typed for letters.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l"}
-#: An addition is seen beside so many different entries, and has at most so many words; at most so many are kept.
-LEARNT, ADDED_WORDS, ADDITIONS = 3, 6, 10_000
+#: An addition is seen beside so many different entries; so many are sent to executors as a set.
+LEARNT, ADDITIONS = 3, 10_000
 TOKEN = re.compile(r"\d+(?:[.,]\d+)?|[^\W\d_]+")
 SIGNS = re.compile(r"[®™©℠]|\(\s*(?:tm|r|c)\s*\)", re.I)
 WORDS = re.compile(r"[^\W_]+")
@@ -74,19 +76,25 @@ def shape(tokens: list[str]) -> str:
     return " ".join("#" if t[0].isdigit() else t for t in tokens)
 
 
-def trimmed(value: str, additions: frozenset[tuple[str, str]] = frozenset()) -> str:
-    """The folded value without signs, outer punctuation and additions ((side, shape), side left or right)."""
+def reach(additions: frozenset[tuple[str, str]]) -> int:
+    """Words of the longest addition."""
+    return max((x.count(" ") + 1 for _, x in additions), default=0)
+
+
+def trimmed(value: str, additions: frozenset[tuple[str, str]] = frozenset(), longest: int | None = None) -> str:
+    """The folded value without signs, outer punctuation and additions ((side, shape), side left or right; longest: their words)."""
+    longest = reach(additions) if longest is None else longest
     s = fold(SIGNS.sub(" ", INVISIBLE.sub("", value)))
     at = [x.span() for x in TOKEN.finditer(s)]
     said = [s[a:b] for a, b in at]
     low, high, before = 0, len(at), None
     while before != (low, high):
         before = low, high
-        for k in range(min(ADDED_WORDS, high - low - 1), 0, -1):
+        for k in range(min(longest, high - low - 1), 0, -1):
             if ("right", shape(said[high - k : high])) in additions:
                 high -= k
                 break
-        for k in range(min(ADDED_WORDS, high - low - 1), 0, -1):
+        for k in range(min(longest, high - low - 1), 0, -1):
             if ("left", shape(said[low : low + k])) in additions:
                 low += k
                 break
@@ -104,7 +112,8 @@ class Trie:
     def __init__(self, entries: list[tuple[int, str, list[str | None]]], additions: frozenset[tuple[str, str]] = frozenset()) -> None:
         self.root: dict = {}
         self.word_root: dict = {}
-        self.additions, self.longest = additions, 0
+        self.longest = 0
+        self.free_of(additions)
         for term, name, aliases in entries:
             for x in [name, *aliases]:
                 if x and (s := letters(fold(x))):
@@ -113,6 +122,10 @@ class Trie:
                 if x and len(w := WORDS.findall(fold(x))) > 1:
                     self._add(" ".join(sorted(w)), term, self.word_root)
 
+    def free_of(self, additions: frozenset[tuple[str, str]]) -> None:
+        """Sets what is taken off values."""
+        self.additions, self.reach = additions, reach(additions)
+
     @staticmethod
     def _add(s: str, term: int, node: dict) -> None:
         for c in s:
@@ -206,7 +219,7 @@ class Trie:
 
     def answers(self, value: str) -> Iterator[tuple[int, str, int, dict[int, str]]]:
         """What the trie says about a value, in the order in which it counts: (group, kind, distance, {entry: what tells it apart})."""
-        plain = trimmed(value, self.additions)
+        plain = trimmed(value, self.additions, self.reach)
         whole = letters(fold(INVISIBLE.sub("", value)))
         seen: list[str] = []
         for part in (plain, *halves(plain)):
@@ -281,19 +294,24 @@ def _blocks(terms: DataFrame) -> list[list[tuple[int, str, str, list[str]]]]:
     return blocks
 
 
-def _searched(values: DataFrame, block: list, additions: frozenset, per_value, schema: str) -> DataFrame:
-    """Rows (kind, value, ...) that ``per_value(trie, value)`` gives for each distinct value."""
+def _searched(values: DataFrame, block: list, additions: frozenset | None, per_value, schema: str) -> DataFrame:
+    """Rows (kind, value, ...) that ``per_value(trie, value)`` gives for each distinct value; without additions values bring their own."""
     sent = values.sparkSession.sparkContext.broadcast((block, additions))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, added = sent.value
-        tries = {k: Trie([(i, n, a) for i, kk, n, a in own if kk == k], added) for k in {x[1] for x in own}}
+        tries = {k: Trie([(i, n, a) for i, kk, n, a in own if kk == k], added or frozenset()) for k in {x[1] for x in own}}
         nothing = Trie([])
         for pdf in batches:
-            rows = [(k, v, *r) for k, v in zip(pdf["kind"], pdf["value"]) for r in per_value(tries.get(k, nothing), v)]
+            rows = []
+            for j, (k, v) in enumerate(zip(pdf["kind"], pdf["value"])):
+                trie = tries.get(k, nothing)
+                if added is None:
+                    trie.free_of(frozenset(tuple(x.split(" ", 1)) for x in pdf["added"].iat[j]))
+                rows += [(k, v, *r) for r in per_value(trie, v)]
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
 
-    return values.select("kind", "value").mapInPandas(run, schema)
+    return values.select("kind", "value", *["added"] * (additions is None)).mapInPandas(run, schema)
 
 
 def spread(values: DataFrame) -> DataFrame:
@@ -301,14 +319,14 @@ def spread(values: DataFrame) -> DataFrame:
     return cut(values.select("kind", "value").repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("value", "kind")))
 
 
-def learnt(values: DataFrame, blocks: list[list]) -> frozenset[tuple[str, str]]:
-    """Additions (side, shape) that stand beside at least ``LEARNT`` entries; if there are more than ``ADDITIONS``, those beside the most."""
+def additions(values: DataFrame, blocks: list[list]) -> DataFrame:
+    """(side, shape): all additions, which stand beside at least ``LEARNT`` entries."""
 
     def sides(trie: Trie, value: str) -> list[tuple]:
         if not (found := trie.beside(value)):
             return []
         n, term, *around = found
-        return [(n, term, *[x for w in around for x in ((shape(w), " ".join(w)) if 0 < len(w) <= ADDED_WORDS else (None, None))])]
+        return [(n, term, *[x for w in around for x in ((shape(w), " ".join(w)) if w else (None, None))])]
 
     schema = "kind string, value string, n int, term_id long, left string, left_raw string, right string, right_raw string"
     every = None
@@ -321,19 +339,50 @@ def learnt(values: DataFrame, blocks: list[list]) -> frozenset[tuple[str, str]]:
     side = lambda s: F.struct(F.lit(s).alias("side"), F.col(s).alias("shape"), F.col(f"{s}_raw").alias("raw"))
     shapes = every.select("kind", "term_id", F.explode(F.array(side("left"), side("right"))).alias("x")).select("kind", "term_id", "x.*").where("shape is not null")
     counted = shapes.groupBy("side", "shape").agg(F.count_distinct("kind", "term_id").alias("n"), F.min("raw").alias("raw")).where(F.col("n") >= LEARNT)
-    rows = counted.orderBy(F.desc("n"), "side", "shape").limit(ADDITIONS + 1).collect()
-    if len(rows) > ADDITIONS:
-        rows = [r for r in rows if r["n"] > rows[-1]["n"]]
     # a misspelt word of an entry stands beside many entries too
-    words = Trie([(k, w, []) for k, w in enumerate(sorted({w for b in blocks for _, _, n, al in b for x in (n, *al) for w in parts(x)}), 1)])
-    near = lambda w: bool(words.search(s := letters(w), limit(len(s))))
-    return frozenset((r["side"], r["shape"]) for r in rows if not near(r["raw"]) and not any(near(w) for w in r["raw"].split()))
+    own = sorted({w for b in blocks for _, _, n, al in b for x in (n, *al) for w in parts(x)})
+    sent = values.sparkSession.sparkContext.broadcast(own)
+
+    def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Trie([(k, w, []) for k, w in enumerate(sent.value, 1)])
+        near = lambda w: bool(words.search(s := letters(w), limit(len(s))))
+        for pdf in batches:
+            yield pdf.loc[[not near(x) and not any(near(w) for w in x.split()) for x in pdf["raw"]], ["side", "shape"]]
+
+    return cut(counted.select("side", "shape", "raw").mapInPandas(kept, "side string, shape string"))
+
+
+def learnt(values: DataFrame, blocks: list[list]) -> frozenset[tuple[str, str]]:
+    """All additions (side, shape) as a set."""
+    return frozenset((r["side"], r["shape"]) for r in additions(values, blocks).collect())
+
+
+def with_additions(values: DataFrame, blocks: list[list]) -> tuple[DataFrame, frozenset[tuple[str, str]] | None]:
+    """(values, additions), or if there are more than ``ADDITIONS`` (values with those that occur in each, None)."""
+    found = additions(values, blocks)
+    if bounded(found, ADDITIONS):
+        return values, frozenset((r["side"], r["shape"]) for r in found.collect())
+    longest = found.agg(F.max(F.size(F.split("shape", " ")))).first()[0]
+    numbered = cut(values.select("kind", "value").withColumn("no", F.monotonically_increasing_id()))
+
+    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for no, value in zip(pdf["no"], pdf["value"]):
+                said = [shape([t]) for t in parts(value)]
+                rows += [(no, x) for x in {" ".join(said[i : i + k]) for k in range(1, min(longest, len(said) - 1) + 1) for i in range(len(said) - k + 1)}]
+            yield pd.DataFrame(rows, columns=["no", "shape"])
+
+    held = numbered.select("no", "value").mapInPandas(runs, "no long, shape string").join(found, "shape")
+    each = held.groupBy("no").agg(F.collect_set(F.concat_ws(" ", "side", "shape")).alias("added"))
+    own = numbered.join(each, "no", "left").select("kind", "value", F.coalesce("added", F.array().cast("array<string>")).alias("added"))
+    return cut(own), None
 
 
 def match_values(values: DataFrame, terms: DataFrame) -> DataFrame:
     """(kind, value, term_id, distance) of distinct (kind, value); terms: term_id, kind, name, aliases."""
-    blocks, values = _blocks(terms), spread(values)
-    added = learnt(values, blocks)
+    blocks = _blocks(terms)
+    values, added = with_additions(spread(values), blocks)
     if len(blocks) == 1:
         return _searched(values, blocks[0], added, lambda trie, v: [trie.match(v)], "kind string, value string, term_id long, distance int")
     said = "kind string, value string, place int, grp int, route string, distance int, term_id long, apart string"
@@ -356,11 +405,11 @@ def match_values(values: DataFrame, terms: DataFrame) -> DataFrame:
 
 def within(values: DataFrame, terms: DataFrame) -> DataFrame:
     """(kind, value, term_id, distance): all entries within the limit of distinct (kind, value), folded and freed of additions."""
-    blocks, values, out = _blocks(terms), spread(values), None
-    added = learnt(values, blocks)
+    blocks, out = _blocks(terms), None
+    values, added = with_additions(spread(values), blocks)
 
     def found(trie: Trie, value: str) -> Iterable[tuple[int, int]]:
-        s = letters(trimmed(value, trie.additions))
+        s = letters(trimmed(value, trie.additions, trie.reach))
         return trie.search(s, limit(len(s))).items() if s else ()
 
     for b in blocks:

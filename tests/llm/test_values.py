@@ -93,6 +93,22 @@ def test_blocks_choose_as_one_list_and_values_may_be_long(spark, monkeypatch):
             assert x.distance == damerau(s, n) <= match.limit(len(s))
 
 
+def test_no_addition_is_dropped(spark, monkeypatch):
+    names = ["Restylane", "Botox", "Gridusbel", "Peastgo Contour"]
+    terms = spark.createDataFrame([(k, "brand", n, None) for k, n in enumerate(names, 1)], "term_id long, kind string, name string, name_ko string")
+    note = "as it was told by her own doctor there"
+    seen = [f"{n} {x}" for n in names[:3] for x in ("1ml", "- see notes", "(both sides)", note)]
+    labels = spark.createDataFrame(list(enumerate([f"Restylne {note}", "2 ml botx", "Gridusbl both sides 3 ml - see notes", "peastgo kontour see notes", "none", *seen])), "id long, b string")
+    get = lambda: ({(x.label_id, x.term_id) for x in match.map_labels(labels, terms, {"b": "brand"}).collect()}, {tuple(x) for x in match.within(match.long_values(labels, {"b": "brand"}), terms).collect()})
+    as_set = get()
+    assert {(0, 1), (2, 3), (3, 4), (4, 0)} <= as_set[0]
+    # more than are sent as a set: each value has its own, and the answers stay
+    monkeypatch.setattr(match, "ADDITIONS", 1)
+    assert get() == as_set
+    monkeypatch.setattr(match, "MAX_ENTRIES", 2)
+    assert get() == as_set
+
+
 def test_cutoffs_are_exact(spark):
     r = random.Random(2)
     rows = [(r.choice(["hot", "hot", "b", "c", None]), r.choice([None, 0.5, 0.5, round(r.random(), 3), 0.0, 1.0])) for _ in range(3000)]

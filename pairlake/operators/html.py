@@ -238,7 +238,9 @@ def signals(els: DataFrame, wanted: DataFrame, page_id: str = "page_id") -> Data
     six elements around), caption; ``weak`` says whether the picture is in its side's place of two.
 
     All that speaks for a picture is on its page: a page's elements are brought together once, as numbers and bits, and
-    meet the page's wanted pictures in one join. The plan has two exchanges however many kinds of sign there are.
+    meet the page's wanted pictures in one join. The plan has two exchanges however many kinds of sign there are. The
+    join is a merge join whatever Spark takes the pages' size for: it knows one element a page and not what the parser
+    gives, so by its own choice it would send all pages of some million rows to the driver as one table.
     """
     src = F.when(F.col("tag") == "img", F.coalesce(F.nullif(attribute("src"), F.lit("")), attribute("data-src"), F.lit("")))
     follows = F.col("tag").isin(*FOLLOWING) & F.col("text").isNotNull()
@@ -246,7 +248,7 @@ def signals(els: DataFrame, wanted: DataFrame, page_id: str = "page_id") -> Data
     pages = els.where("tag is not null").select(page_id, element.alias("e")).groupBy(page_id).agg(F.collect_list("e").alias("els_"))
     # an address's path is taken out before the groups, else it would be for each element
     own = F.struct("url", "side", F.substring_index(path(F.col("url")), "/", -1).alias("name"), path(F.col("url")).alias("path"))
-    rows = wanted.select(page_id, own.alias("w")).groupBy(page_id).agg(F.collect_set("w").alias("ws")).join(pages, page_id, "left").select(page_id, F.explode("ws").alias("w"), F.coalesce("els_", F.array().cast(pages.schema["els_"].dataType)).alias("els_"))
+    rows = wanted.select(page_id, own.alias("w")).groupBy(page_id).agg(F.collect_set("w").alias("ws")).join(pages.hint("merge"), page_id, "left").select(page_id, F.explode("ws").alias("w"), F.coalesce("els_", F.array().cast(pages.schema["els_"].dataType)).alias("els_"))
     w = F.col("w")
     signs = lambda e: F.when(w["side"] == "before", e["b"]).otherwise(e["a"])
     has = lambda bits, bit: F.coalesce(bits.bitwiseAND(F.lit(bit)) != 0, F.lit(False))

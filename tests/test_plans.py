@@ -56,3 +56,16 @@ def test_signs_of_a_page_meet_in_one_join(spark, name):
     # the driver holds the plan and makes it anew after each exchange
     text = plan(spark, name)
     assert text.count("Exchange hashpartitioning") <= 3 and text.count("Join") == 1
+
+
+@pytest.mark.parametrize("name", ["structural_signals", "structural_scores"])
+def test_pages_are_not_sent_whole(spark, name):
+    # by its files' size the small table would be broadcast; the elements' size isn't known from it
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "10m")
+    try:
+        text = plan(spark, name)
+    finally:
+        spark.conf.set(key, kept)
+    assert "SortMergeJoin" in text and "Broadcast" not in text
